@@ -28,6 +28,11 @@ def label_spine(df: DataFrame, column: str, labels: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(pairs, f"label_order int, {column} string")
 
 
+def overall(value: Column) -> Column:
+    """Grand total beside each row; only for frames bounded by a list of labels."""
+    return F.sum(value).over(Window.partitionBy())
+
+
 def number_rows(df: DataFrame, name: str, order: Sequence[Column]) -> DataFrame:
     """Consecutive numbers from 1 in a total order, without a single sorting task.
 

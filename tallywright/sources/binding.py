@@ -77,9 +77,14 @@ class BoundModel(Mapping[str, DataFrame]):
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def raw(self) -> dict[str, DataFrame]:
-        """The nine tables before cleaning."""
+        """The nine tables as an uncleaned extract: repeats, gaps and invalid values."""
         tables = {name: self[name] for name in _BUILDERS if name != "raw_transactions"}
-        return {**tables, "transactions": self["raw_transactions"]}
+        tables["transactions"] = self["raw_transactions"]
+        tables["invoices"] = _raw_invoices(tables["invoices"])
+        tables["payments"] = _raw_payments(tables["payments"])
+        tables["credit_notes"] = _raw_credit_notes(tables["credit_notes"])
+        tables["refunds"] = _raw_refunds(tables["refunds"])
+        return tables
 
     def _written(self, name: str, frame: DataFrame) -> DataFrame:
         path = f"{self._root}/{name}"
@@ -369,6 +374,63 @@ def _refunds(model: BoundModel) -> DataFrame:
     )
 
 
+def _raw_invoices(invoices: DataFrame) -> DataFrame:
+    number = F.col("invoice_id")
+    blank = number % 41 == 0
+    tax_rate = F.lit("0.18").cast("decimal(9,4)")
+    with_tax = invoices.withColumns({
+        "due_date": F.when(number % 37 != 0, F.col("due_date")),
+        "subtotal": F.when(~blank, F.col("billed_fee")),
+        "discount": F.when(~blank, money(F.lit(0))),
+        "taxable_amount": F.when(~blank, F.col("billed_fee")),
+        "tax_rate": tax_rate,
+        "tax_amount": F.when(~blank, money(F.col("billed_fee") * tax_rate)),
+        "total_invoice_amount": F.when(~blank, F.col("total_invoice_amount")),
+        "billed_fee": F.when(~blank, F.col("billed_fee")),
+    })
+    again = with_tax.where(number % 43 == 0).withColumn(
+        "invoice_date", F.date_add("invoice_date", 1)
+    )
+    return with_tax.unionByName(again)
+
+
+def _raw_payments(payments: DataFrame) -> DataFrame:
+    number = F.col("payment_id")
+    gaps = payments.withColumn(
+        "payment_amount", F.when(F.abs(number) % 53 != 0, F.col("payment_amount"))
+    )
+    again = gaps.where(F.abs(number) % 29 == 0).withColumn(
+        "payment_date", F.date_add("payment_date", 1)
+    )
+    return gaps.unionByName(again)
+
+
+def _raw_credit_notes(notes: DataFrame) -> DataFrame:
+    number = F.col("credit_note_id")
+    gaps = notes.withColumn("credit_amount", F.when(number % 31 != 0, F.col("credit_amount")))
+    again = gaps.where(number % 17 == 0).withColumn(
+        "credit_note_date", F.date_add("credit_note_date", 1)
+    )
+    return gaps.unionByName(again)
+
+
+def _raw_refunds(refunds: DataFrame) -> DataFrame:
+    number = F.col("refund_id")
+    gaps = refunds.withColumn("merchant_id", F.when(number % 47 != 0, F.col("merchant_id")))
+    again = gaps.where(number % 23 == 0).withColumn("refund_date", F.date_add("refund_date", 1))
+    return gaps.unionByName(again)
+
+
+# Which of several rows with one id comes first.
+RAW_ORDERS = {
+    "transactions": ("l_partkey", "l_suppkey", "transaction_amount"),
+    "invoices": ("invoice_date",),
+    "payments": ("payment_date",),
+    "credit_notes": ("credit_note_date",),
+    "refunds": ("refund_date",),
+}
+
+
 _BUILDERS: dict[str, Callable[[BoundModel], DataFrame]] = {
     "merchants": _merchants,
     "contracts": _contracts,
