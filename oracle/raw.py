@@ -21,12 +21,14 @@ raw_payments AS (SELECT payment_id, invoice_id, merchant_id, payment_date + agai
   CASE WHEN abs(payment_id) % 53 <> 0 THEN payment_amount END AS payment_amount, payment_status,
   settlement_date FROM payments
  JOIN (VALUES (0), (1)) AS r(again) ON again = 0 OR abs(payment_id) % 29 = 0),
-raw_credit_notes AS (SELECT credit_note_id, invoice_id, merchant_id,
+raw_credit_notes AS (SELECT credit_note_id,
+  CASE WHEN credit_note_id % 61 = 0 THEN -invoice_id ELSE invoice_id END AS invoice_id, merchant_id,
   credit_note_date + again AS credit_note_date,
   CASE WHEN credit_note_id % 31 <> 0 THEN credit_amount END AS credit_amount, status
  FROM credit_notes JOIN (VALUES (0), (1)) AS r(again) ON again = 0 OR credit_note_id % 17 = 0),
 raw_refunds AS (SELECT refund_id, transaction_id,
-  CASE WHEN refund_id % 47 <> 0 THEN merchant_id END AS merchant_id,
+  CASE WHEN refund_id % 53 = 0 THEN -merchant_id - 1
+   WHEN refund_id % 47 <> 0 THEN merchant_id END AS merchant_id,
   refund_date + again AS refund_date, refund_amount, refund_status FROM refunds
  JOIN (VALUES (0), (1)) AS r(again) ON again = 0 OR refund_id % 23 = 0)"""
 SOURCE = {

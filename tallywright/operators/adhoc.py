@@ -248,7 +248,7 @@ def missing_invoice_months(tables: Tables) -> DataFrame:
 
 
 def invoices_without_payment(tables: Tables) -> DataFrame:
-    paid = applied(tables["payments"]).select("invoice_id")
+    paid = applied(tables["payments"]).select("invoice_id").distinct()
     return not_void(tables["invoices"]).join(paid, "invoice_id", "left_anti").select(
         "invoice_id", "merchant_id", "invoice_date", "due_date", "total_invoice_amount"
     ).orderBy("due_date", "invoice_id")

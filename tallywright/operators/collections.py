@@ -53,9 +53,8 @@ def collection_rate(
 
 def recovery_rate(tables: Tables) -> DataFrame:
     """Of the invoices that were chased, the share of their total that was paid."""
-    chased = tables["collection_activity"].where(F.col("invoice_id").isNotNull()).select(
-        "invoice_id"
-    )
+    activity = tables["collection_activity"].where(F.col("invoice_id").isNotNull())
+    chased = activity.select("invoice_id").distinct()
     invoices = not_void(tables["invoices"]).join(chased, "invoice_id", "left_semi")
     total = F.col("total_invoice_amount")
     owed, recovered = F.sum(total), F.sum(F.least(F.col("total_paid"), total))

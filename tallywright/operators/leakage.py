@@ -14,7 +14,7 @@ from tallywright.functions.numeric import (
 )
 from tallywright.functions.relational import label_spine, number_rows
 from tallywright.model import Tables
-from tallywright.operators.ledger import SUCCESS, applied, not_void
+from tallywright.operators.ledger import SUCCESS, not_void
 
 # Leakage types in report order; the last two before "Failed Payment" are advisory.
 UNDERBILLING = "Underbilling"
@@ -167,15 +167,22 @@ def leakage_rate_discrepancy(tables: Tables) -> DataFrame:
 
 def leakage_failed_payment(tables: Tables, as_of: dt.date) -> DataFrame:
     """Overdue invoices with failed attempts only."""
-    payments = tables["payments"].where(F.col("invoice_id").isNotNull())
-    failed = payments.where(F.col("payment_status") == "Failed").select("invoice_id")
-    paid = applied(payments).select("invoice_id")
+    status = F.col("payment_status")
+    failed_only = (
+        tables["payments"]
+        .where(F.col("invoice_id").isNotNull())
+        .groupBy("invoice_id")
+        .agg(
+            F.bool_or(F.coalesce(status == "Failed", F.lit(False))).alias("failed"),
+            F.bool_or(F.coalesce(status == SUCCESS, F.lit(False))).alias("paid"),
+        )
+        .where(F.col("failed") & ~F.col("paid"))
+    )
     total = F.col("total_invoice_amount")
     return (
         not_void(tables["invoices"])
         .where(F.col("due_date") < F.lit(as_of))
-        .join(failed, "invoice_id", "left_semi")
-        .join(paid, "invoice_id", "left_anti")
+        .join(failed_only, "invoice_id", "left_semi")
         .select(*_event(
             F.lit(FAILED), total, F.lit(0), total, F.lit("Outstanding"),
             invoice_id=F.col("invoice_id"),

@@ -139,7 +139,7 @@ def uninvoiced_months(
     start = F.col("billing_period_start")
     billed = invoices.select(
         "merchant_id", (start if exact_start else month_start(start)).alias("month")
-    )
+    ).distinct()
     if "expected_platform_fee" not in transactions.columns:
         transactions = transactions.withColumn(
             "expected_platform_fee", F.lit(None).cast("decimal(18,2)")

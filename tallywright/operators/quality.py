@@ -128,13 +128,15 @@ def unresolved_references(
 ) -> DataFrame:
     """Child rows whose key is absent from the parent.
 
-    Child keys are counted before the anti-join, so a key that fills a third of
-    the table crosses it as one row.
+    Both sides are reduced to distinct keys before the anti-join, so a key that
+    fills a third of a table crosses it as one row.
     """
     keys = child.groupBy(F.col(column).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
     if not null_counts:
         keys = keys.where(F.col("_key").isNotNull())
-    parents = parent.select(F.col(parent_key).alias("_key")).where(F.col("_key").isNotNull())
+    parents = (
+        parent.select(F.col(parent_key).alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    )
     missing = keys.join(parents, "_key", "left_anti")
     label = f"{column} -> {parent_name}.{parent_key}"
     return _counts(missing, table, [(check, label, F.coalesce(F.sum("n"), F.lit(0)))])
@@ -356,7 +358,7 @@ def x_orphan_payments(tables: Tables) -> DataFrame:
 
 
 def x_invoices_without_payment(tables: Tables) -> DataFrame:
-    paid = applied(tables["payments"]).select("invoice_id")
+    paid = applied(tables["payments"]).select("invoice_id").distinct()
     return not_void(tables["invoices"]).join(paid, "invoice_id", "left_anti").select(
         "invoice_id", "merchant_id", "invoice_date", "due_date", "total_invoice_amount"
     )

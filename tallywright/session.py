@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
@@ -32,7 +33,7 @@ def work_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     app = context.applicationId
-    configured = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return f"{configured.rstrip('/')}/tallywright/{app}"
     if not context.master.startswith("local"):

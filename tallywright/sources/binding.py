@@ -1,9 +1,10 @@
 """The finance model bound to the order/line-item test tables.
 
 Customers act as merchants, line items as transactions, event rows as unapplied
-payments and collection activity.  Derived fact tables are written once per
+payments and collection activity.  Each derived table is written once per
 session and input folder to the shared work folder; everything after that reads
-columnar files, as it would from a loaded finance model.
+columnar files, as it would from a loaded finance model.  A table is written when
+a result first asks for it.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from tallywright.session import work_folder
 
 AS_OF = dt.date(2001, 8, 13)
 INPUTS = ("region", "nation", "customer", "orders", "lineitem", "events")
-WRITTEN = ("raw_transactions", "transactions", "invoices", "payments", "collection_activity")
 
 _bound: dict[tuple[str, str, str], BoundModel] = {}
 
@@ -61,10 +61,7 @@ class BoundModel(Mapping[str, DataFrame]):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            frame = _BUILDERS[name](self)
-            if name in WRITTEN:
-                frame = self._written(name, frame)
-            self._frames[name] = frame
+            self._frames[name] = self._written(name, _BUILDERS[name](self))
         return self._frames[name]
 
     def __iter__(self) -> Iterator[str]:
@@ -407,7 +404,11 @@ def _raw_payments(payments: DataFrame) -> DataFrame:
 
 def _raw_credit_notes(notes: DataFrame) -> DataFrame:
     number = F.col("credit_note_id")
-    gaps = notes.withColumn("credit_amount", F.when(number % 31 != 0, F.col("credit_amount")))
+    lost = F.when(number % 61 == 0, -F.col("invoice_id")).otherwise(F.col("invoice_id"))
+    gaps = notes.withColumns({
+        "credit_amount": F.when(number % 31 != 0, F.col("credit_amount")),
+        "invoice_id": lost,
+    })
     again = gaps.where(number % 17 == 0).withColumn(
         "credit_note_date", F.date_add("credit_note_date", 1)
     )
@@ -416,7 +417,11 @@ def _raw_credit_notes(notes: DataFrame) -> DataFrame:
 
 def _raw_refunds(refunds: DataFrame) -> DataFrame:
     number = F.col("refund_id")
-    gaps = refunds.withColumn("merchant_id", F.when(number % 47 != 0, F.col("merchant_id")))
+    gaps = refunds.withColumn(
+        "merchant_id",
+        F.when(number % 53 == 0, -F.col("merchant_id") - 1)
+        .when(number % 47 != 0, F.col("merchant_id")),
+    )
     again = gaps.where(number % 23 == 0).withColumn("refund_date", F.date_add("refund_date", 1))
     return gaps.unionByName(again)
 

@@ -86,8 +86,8 @@ def load_model(tables: Tables, folder: str, *, strict: bool = True) -> dict[str,
 def export_star(frames: Mapping[str, DataFrame], folder: str) -> None:
     """Dimensions plain, facts in one folder per month.
 
-    Rows are spread by month and a slice of the merchant id hash, so the files of
-    a heavy month come from several tasks and a light one is not scattered.
+    Rebalancing by month lets adaptive execution split a heavy month over several
+    tasks and gather light ones, so file sizes follow the advisory partition size.
     """
     for name, df in frames.items():
         path = f"{folder}/{name}"
@@ -95,10 +95,5 @@ def export_star(frames: Mapping[str, DataFrame], folder: str) -> None:
             write_result(df, path)
             continue
         dated = df.withColumn("year_month", month_label(F.col(FACT_DATES[name])))
-        slice_of = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-        (
-            dated.repartition("year_month", slice_of)
-            .write.mode("overwrite")
-            .partitionBy("year_month")
-            .parquet(path)
-        )
+        balanced = dated.hint("rebalance", F.col("year_month"))
+        balanced.write.mode("overwrite").partitionBy("year_month").parquet(path)
