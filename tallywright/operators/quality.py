@@ -1,13 +1,13 @@
 """Data-quality checks, cross-table checks and model constraints.
 
 Every check reduces to counts.  Row-wise checks of a table share one aggregate
-scan; key checks add one grouped count; reference checks add one anti-join on
-distinct child keys with their row counts.
+scan; key checks add one grouped count; all references to one parent share an
+anti-join on distinct child keys with their row counts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Container, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 
 from tallywright.functions.dates import month_label
 from tallywright.functions.numeric import count_where, money, round_dp, zero
-from tallywright.model import EARLIEST_DATE, LATEST_DATE, LOADED_REFERENCES, TABLES, Tables
+from tallywright.model import (
+    EARLIEST_DATE, LATEST_DATE, LOADED_REFERENCES, TABLES, Reference, Tables,
+)
 from tallywright.operators.ledger import (
     applied, not_void, paid_by_invoice, uninvoiced_months,
 )
@@ -30,15 +32,19 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def _counts(df: DataFrame, table: str, measures: list[tuple[str, str, Column]]) -> DataFrame:
-    """Evaluate (check, column, count) measures in one scan, one output row each."""
+    """Evaluate (check, column, count) measures of one table in one scan, a row for each."""
+    return _count_rows(df, [(table, *m) for m in measures])
+
+
+def _count_rows(df: DataFrame, measures: list[tuple[str, str, str, Column]]) -> DataFrame:
     names = [f"m{n}" for n in range(len(measures))]
-    totals = df.agg(*[m[2].cast("bigint").alias(n) for n, m in zip(names, measures)])
+    totals = df.agg(*[m[3].cast("bigint").alias(n) for n, m in zip(names, measures)])
     rows = F.array(*[
         F.struct(
             F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
             F.lit(column).cast("string").alias("column_name"), F.col(n).alias("violations"),
         )
-        for n, (check, column, _) in zip(names, measures)
+        for n, (table, check, column, _) in zip(names, measures)
     ])
     return totals.select(F.inline(rows))
 
@@ -123,23 +129,47 @@ def excess_key_rows(df: DataFrame, table: str, check: str, key: str) -> DataFram
 
 
 def unresolved_references(
-    child: DataFrame, table: str, column: str, parent: DataFrame, parent_name: str,
-    parent_key: str, *, check: str = "unresolved_reference", null_counts: bool = False,
+    tables: Tables,
+    references: Iterable[tuple[str, Reference]],
+    *,
+    check: str = "unresolved_reference",
+    null_counts: Container[tuple[str, str]] = (),
 ) -> DataFrame:
-    """Child rows whose key is absent from the parent.
+    """Rows per (table, reference) whose key is absent from the parent.
 
-    Both sides are reduced to distinct keys before the anti-join, so a key that
-    fills a third of a table crosses it as one row.
+    All children of one parent are tagged and share a single anti-join.  Both
+    sides are reduced to distinct keys first, so a key that fills a third of a
+    table crosses it as one row.  NULL keys count only for the (table, column)
+    pairs in ``null_counts``.
     """
-    keys = child.groupBy(F.col(column).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
-    if not null_counts:
-        keys = keys.where(F.col("_key").isNotNull())
-    parents = (
-        parent.select(F.col(parent_key).alias("_key")).where(F.col("_key").isNotNull()).distinct()
-    )
-    missing = keys.join(parents, "_key", "left_anti")
-    label = f"{column} -> {parent_name}.{parent_key}"
-    return _counts(missing, table, [(check, label, F.coalesce(F.sum("n"), F.lit(0)))])
+    by_parent: dict[tuple[str, str], list[tuple[str, Reference]]] = {}
+    for table, ref in references:
+        if ref.column in tables[table].columns and ref.parent in tables:
+            by_parent.setdefault((ref.parent, ref.parent_key), []).append((table, ref))
+    frames = []
+    for (parent, parent_key), children in by_parent.items():
+        keys = union_all(
+            (
+                tables[table]
+                if (table, ref.column) in null_counts
+                else tables[table].where(F.col(ref.column).isNotNull())
+            ).select(F.lit(tag).alias("_tag"), F.col(ref.column).alias("_key"))
+            for tag, (table, ref) in enumerate(children)
+        )
+        sizes = keys.groupBy("_tag", "_key").agg(F.count(F.lit(1)).alias("n"))
+        key = F.col(parent_key).alias("_key")
+        parents = tables[parent].select(key).where(F.col("_key").isNotNull()).distinct()
+        missing = sizes.join(parents, "_key", "left_anti")
+        frames.append(_count_rows(missing, [
+            (
+                table, check, f"{ref.column} -> {parent}.{parent_key}",
+                F.coalesce(F.sum(F.when(F.col("_tag") == tag, F.col("n"))), F.lit(0)),
+            )
+            for tag, (table, ref) in enumerate(children)
+        ]))
+    if not frames:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], FINDING)
+    return union_all(frames)
 
 
 # ---- the checks over all tables ----
@@ -199,52 +229,46 @@ def dq_dup_rows(tables: Tables) -> DataFrame:
     )
 
 
-def dq_referential(tables: Tables) -> DataFrame:
-    frames = [
-        unresolved_references(
-            tables[n], n, r.column, tables[r.parent], r.parent, r.parent_key
-        )
-        for n in _present_tables(tables)
-        for r in TABLES[n].references
-        if r.column in tables[n].columns and r.parent in tables
-    ]
-    return union_all(frames).where(F.col("violations") > 0)
+def _references(tables: Tables, names: Iterable[str]) -> list[tuple[str, Reference]]:
+    return [(n, r) for n in names for r in TABLES[n].references]
 
 
-def table_findings(
-    name: str, tables: Tables, earliest: str = EARLIEST_DATE, latest: str = LATEST_DATE
-) -> DataFrame:
-    """All checks of one table: one aggregate scan, grouped counts, anti-joins."""
-    df, spec = tables[name], TABLES[name]
-    scan = _counts(df, name, [
-        ("rows", None, F.count(F.lit(1))),
-        *missing_values(df, spec.required),
-        *invalid_dates(df, spec.dates, earliest, latest),
-        *date_order(df, spec.ordered_dates),
-        *negative_amounts(df, spec.non_negative),
-        *out_of_range(df, spec.ranges),
-        *invalid_domain(df, spec.domains),
-    ]).where((F.col("check_name") == "rows") | (F.col("violations") > 0))
-    frames = [scan, repeated_key_rows(df, name, "duplicate_ids", [spec.key])]
-    if spec.business_key:
-        frames.append(
-            repeated_key_rows(df, name, "duplicate_business_rows", spec.business_key)
-        )
-    frames += [
-        unresolved_references(df, name, r.column, tables[r.parent], r.parent, r.parent_key)
-        .where(F.col("violations") > 0)
-        for r in spec.references
-        if r.column in df.columns and r.parent in tables
-    ]
-    return union_all(frames)
+def dq_referential(tables: Tables) -> DataFrame:
+    found = unresolved_references(tables, _references(tables, _present_tables(tables)))
+    return found.where(F.col("violations") > 0)
 
 
-def dq_findings(
-    tables: Tables, earliest: str = EARLIEST_DATE, latest: str = LATEST_DATE
+def findings(
+    tables: Tables,
+    names: Iterable[str] | None = None,
+    earliest: str = EARLIEST_DATE,
+    latest: str = LATEST_DATE,
 ) -> DataFrame:
-    return union_all(
-        table_findings(name, tables, earliest, latest) for name in _present_tables(tables)
-    )
+    """All checks of the named tables (default: all present ones).
+
+    One aggregate scan per table, one grouped count per key, one anti-join per parent.
+    """
+    names = _present_tables(tables) if names is None else list(names)
+    frames = []
+    for name in names:
+        df, spec = tables[name], TABLES[name]
+        frames.append(_counts(df, name, [
+            ("rows", None, F.count(F.lit(1))),
+            *missing_values(df, spec.required),
+            *invalid_dates(df, spec.dates, earliest, latest),
+            *date_order(df, spec.ordered_dates),
+            *negative_amounts(df, spec.non_negative),
+            *out_of_range(df, spec.ranges),
+            *invalid_domain(df, spec.domains),
+        ]))
+        frames.append(repeated_key_rows(df, name, "duplicate_ids", [spec.key]))
+        if spec.business_key:
+            frames.append(
+                repeated_key_rows(df, name, "duplicate_business_rows", spec.business_key)
+            )
+    frames.append(unresolved_references(tables, _references(tables, names)))
+    always = F.col("check_name").isin("rows", "duplicate_ids", "duplicate_business_rows")
+    return union_all(frames).where(always | (F.col("violations") > 0))
 
 
 def table_profile(tables: Tables) -> DataFrame:
@@ -284,18 +308,13 @@ def dq_dup_pk_extra(tables: Tables) -> DataFrame:
 def dq_fk_spot(tables: Tables) -> DataFrame:
     """Four spot checks; a NULL merchant or credited invoice counts, a NULL paid invoice not."""
     spots = (
-        ("invoices", "merchant_id", "merchants", True),
-        ("payments", "invoice_id", "invoices", False),
-        ("transactions", "merchant_id", "merchants", True),
-        ("credit_notes", "invoice_id", "invoices", True),
-    )
-    return union_all(
-        unresolved_references(
-            tables[child], child, column, tables[parent], parent, column,
-            check="orphaned_rows", null_counts=null_counts,
-        )
-        for child, column, parent, null_counts in spots
+        ("invoices", Reference("merchant_id", "merchants", "merchant_id")),
+        ("payments", Reference("invoice_id", "invoices", "invoice_id")),
+        ("transactions", Reference("merchant_id", "merchants", "merchant_id")),
+        ("credit_notes", Reference("invoice_id", "invoices", "invoice_id")),
     )
+    with_nulls = {(table, ref.column) for table, ref in spots if table != "payments"}
+    return unresolved_references(tables, spots, check="orphaned_rows", null_counts=with_nulls)
 
 
 def category_mix(tables: Tables) -> DataFrame:
@@ -398,13 +417,8 @@ def constraint_violations(tables: Tables) -> DataFrame:
         ]
         rules += [("domain", c, m) for _, c, m in invalid_domain(df, spec.checked_domains)]
         frames.append(_counts(df, name, rules))
-        frames += [
-            unresolved_references(
-                df, name, r.column, tables[r.parent], r.parent, r.parent_key, check="foreign_key"
-            )
-            for r in LOADED_REFERENCES[name]
-            if r.column in df.columns and r.parent in tables
-        ]
+    loaded = [(n, r) for n in _present_tables(tables) for r in LOADED_REFERENCES[n]]
+    frames.append(unresolved_references(tables, loaded, check="foreign_key"))
     return union_all(frames).where(F.col("violations") > 0)
 
 

@@ -163,7 +163,7 @@ RESULTS: dict[str, Result] = {
     ]),
     "dq_domain": lambda m: quality.dq_domain({**m.raw(), "transactions": m["transactions"]}),
     "dq_referential": lambda m: quality.dq_referential(m.raw()),
-    "dq_findings": lambda m: quality.dq_findings(m.raw(), EARLIEST, LATEST),
+    "dq_findings": lambda m: quality.findings(m.raw(), None, EARLIEST, LATEST),
     "dq_missing_cells": lambda m: quality.dq_missing_cells(m.raw()),
     "dq_dup_pk_extra": lambda m: quality.dq_dup_pk_extra(m.raw()),
     "dq_fk_spot": lambda m: quality.dq_fk_spot(m.raw()),

@@ -86,7 +86,7 @@ def dirty(spark):
 
 @pytest.fixture(scope="module")
 def findings(dirty):
-    rows = quality.dq_findings(dirty).collect()
+    rows = quality.findings(dirty).collect()
     return {(r.table_name, r.check_name, r.column_name): r.violations for r in rows}
 
 
