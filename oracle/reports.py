@@ -149,15 +149,18 @@ FROM transactions JOIN merchants USING (merchant_id) GROUP BY 1""")
 
 add("scan_csv", """SELECT payment_id, invoice_id, merchant_id, payment_date,
  payment_amount::DOUBLE AS payment_amount, payment_status, settlement_date,
- NULL::VARCHAR AS _corrupt_record FROM payments""")
+ false AS is_corrupt FROM payments""")
 ORACLES["scan_table"] = "SELECT o_orderkey, o_custkey FROM orders WHERE o_totalprice > 100000"
 
 # ---------------------------------------------------------------- star schema
 
 add("dim_merchant", """SELECT merchant_id, merchant_name, industry, merchant_segment,
- NULL::VARCHAR AS city, state, country, NULL::DATE AS onboarding_date,
- NULL::VARCHAR AS account_manager, NULL::VARCHAR AS pricing_plan,
- NULL::DOUBLE AS agreed_fee_percent, NULL::DOUBLE AS monthly_subscription_fee,
+ 'City ' || merchant_id % 10 AS city, state, country,
+ (DATE '1994-01-01' + (merchant_id % 300)::INT)::DATE AS onboarding_date,
+ 'Manager ' || merchant_id % 7 AS account_manager,
+ CASE merchant_segment WHEN 'Enterprise' THEN 'Custom' ELSE 'Standard' END AS pricing_plan,
+ (1.5 + (merchant_id % 5) * 0.4)::DECIMAL(9,4)::DOUBLE AS agreed_fee_percent,
+ ((merchant_id % 4) * 100)::DOUBLE AS monthly_subscription_fee,
  payment_terms_days::BIGINT AS payment_terms_days, merchant_status FROM merchants""")
 add("dim_date", f"""WITH d AS (SELECT unnest(generate_series(min(billing_period_start),
  max(due_date), INTERVAL 1 DAY))::DATE AS date FROM invoices)
@@ -170,7 +173,7 @@ FACT_INVOICES = """SELECT invoice_id, merchant_id, billing_period_start, invoice
  diff::DOUBLE AS revenue_difference, billing_status FROM classified"""
 add("fact_invoices", f"WITH {BILLING} {FACT_INVOICES}")
 add("fact_collection_activity", """SELECT collection_id, merchant_id, invoice_id, activity_date,
- activity_type, contact_channel, NULL::VARCHAR AS collector, outcome, promised_payment_date,
+ activity_type, contact_channel, 'Agent ' || collection_id % 9 AS collector, outcome, promised_payment_date,
  promised_amount::DOUBLE AS promised_amount FROM collection_activity""")
 add("export_star", f"""WITH {LEAKAGE},
 {AGING.replace('paid AS (', 'paid_sum AS (').replace('LEFT JOIN paid p', 'LEFT JOIN paid_sum p')}

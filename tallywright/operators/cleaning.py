@@ -105,11 +105,10 @@ def _steps(df: DataFrame, table: str, steps: list[tuple[str, Column]]) -> DataFr
     totals = df.agg(*[
         F.coalesce(value, F.lit(0)).cast("bigint").alias(n) for n, (_, value) in zip(names, steps)
     ])
-    rows = F.array(*[
-        F.struct(F.lit(table).alias("table_name"), F.lit(step).alias("step"), F.col(n).alias("row_count"))
-        for n, (step, _) in zip(names, steps)
-    ])
-    return totals.select(F.inline(rows))
+    cells = ", ".join(f"'{table}', '{step}', {n}" for n, (step, _) in zip(names, steps))
+    return totals.select(
+        F.expr(f"stack({len(names)}, {cells}) AS (table_name, step, row_count)")
+    )
 
 
 def cleaning_stats(

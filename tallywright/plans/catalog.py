@@ -67,7 +67,10 @@ def _scan_csv(m: BoundModel) -> DataFrame:
                "payment_status", "settlement_date"]
     payments = m["payments"].select(*columns)
     files.write_csv(payments, path)
-    return files.scan_csv(m.spark, path, payments.schema)
+    unreadable = F.col(files.CORRUPT).isNotNull()
+    return files.scan_csv(m.spark, path, payments.schema).select(
+        *columns, unreadable.alias("is_corrupt")
+    )
 
 
 def _scan_table(m: BoundModel) -> DataFrame:
@@ -124,6 +127,26 @@ def _with_discounts(m: BoundModel) -> dict[str, DataFrame]:
     return {**m, "contracts": contracts}
 
 
+def _with_profiles(m: BoundModel) -> dict[str, DataFrame]:
+    """Descriptive columns the bound tables lack, so the star dimensions are full."""
+    merchant = F.col("merchant_id")
+    rate = F.lit("1.50").cast("decimal(9,4)") + (merchant % 5) * F.lit("0.40").cast("decimal(9,4)")
+    merchants = m["merchants"].withColumns({
+        "city": F.concat(F.lit("City "), merchant % 10),
+        "onboarding_date": F.date_add(F.lit("1994-01-01").cast("date"), (merchant % 300).cast("int")),
+        "account_manager": F.concat(F.lit("Manager "), merchant % 7),
+        "pricing_plan": F.when(F.col("merchant_segment") == "Enterprise", "Custom").otherwise(
+            "Standard"
+        ),
+        "agreed_fee_percent": rate.cast("decimal(9,4)"),
+        "monthly_subscription_fee": money((merchant % 4) * 100),
+    })
+    activity = m["collection_activity"].withColumn(
+        "collector", F.concat(F.lit("Agent "), F.col("collection_id") % 9)
+    )
+    return {**m, "merchants": merchants, "collection_activity": activity}
+
+
 def _one_invoiced_merchant(m: BoundModel) -> DataFrame:
     """Drill-through to the merchant with the largest billed revenue."""
     largest = measures.top_merchants(m, 1).select("merchant_id").scalar()
@@ -306,11 +329,11 @@ RESULTS: dict[str, Result] = {
     "sql_27": adhoc.dispute_summary,
     "sql_28": adhoc.refund_rate_by_industry,
     # star schema and measures
-    "dim_merchant": star.dim_merchant,
+    "dim_merchant": lambda m: star.dim_merchant(_with_profiles(m)),
     "dim_date": lambda m: star.dim_date(star.invoice_calendar(m)),
     "fact_invoices": star.fact_invoices,
     "fact_payments": star.fact_payments,
-    "fact_collection_activity": star.fact_collection_activity,
+    "fact_collection_activity": lambda m: star.fact_collection_activity(_with_profiles(m)),
     "fact_leakage": lambda m: leakage.leakage_table(_events(m), m.as_of),
     "fact_ar_aging": _aging,
     **{

@@ -19,7 +19,7 @@ from tallywright.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark() -> SparkSession:
-    session = local_session(8, partitions=4)
+    session = local_session(8, partitions=2)
     session.sparkContext.setLogLevel("ERROR")
     return session
 
