@@ -57,8 +57,8 @@ def base_counts(df: DataFrame, text: str) -> DataFrame:
         lambda line: line.rlike(r"[^\x20\x09-\x0D]"),
     )
     hashes = F.col("_hashes")
-    pairs = F.zip_with(hashes, F.slice(hashes, 2, 2**31 - 1), lambda a, b: F.xxhash64(a, b))
-    grams = F.zip_with(pairs, F.slice(hashes, 3, 2**31 - 1), lambda ab, c: F.xxhash64(ab, c))
+    pairs = F.zip_with(hashes, F.slice(hashes, F.lit(2), F.size(hashes)), lambda a, b: F.xxhash64(a, b))
+    grams = F.zip_with(pairs, F.slice(hashes, F.lit(3), F.size(hashes)), lambda ab, c: F.xxhash64(ab, c))
     steps = df.withColumn("_words", words_of(F.col(text)))
     steps = steps.withColumn("_hashes", F.transform(words, lambda w: F.xxhash64(w)))
     steps = steps.withColumns({
