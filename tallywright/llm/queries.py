@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywright.llm.common import read_table
+from tallywright.llm.exact_dedup import exact_dedup
+from tallywright.llm.packing import pack
 from tallywright.llm.quality_rules import quality_rules
 
 
@@ -14,7 +16,31 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(
+        read_table(spark, sf_dir, "documents"),
+        tokenizer=public_tokenizers.path("word_bpe_49k.json"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_packing": op7_packing,
+    "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+OP8_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256
+FROM d JOIN g USING (text)
+"""
+
+ORACLES: dict[str, str] = {
+    "op8_exact_dedup": OP8_SQL,
+}
