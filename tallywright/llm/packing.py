@@ -18,7 +18,9 @@ and the order of reading, so results do not depend on where tasks run.
 from __future__ import annotations
 
 import os
+
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 
 from tallywright.llm.common import written
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -68,19 +70,24 @@ class WordEncoder:
         for p, code in zip(
             fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True
         ):
-            self.cores[p] = np.array(code.ids, dtype="<u4").tobytes()
+            self.cores[p] = array("I", code.ids).tobytes()
         for word, each in zip(missing, parts, strict=True):
             self.words[word] = b"".join([self.cores[p] for p in each])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
         known = self.words
         if len(known) > CACHED_WORDS:
             known.clear()
-        missing = list({w for words in split for w in words if w not in known})
-        if missing:
-            self.learn(missing)
-        return [b"".join([known[w] for w in words]) for words in split]
+        split = [t.split() for t in texts]
+        codes = [list(map(known.get, words)) for words in split]
+        gaps = [(words, code) for words, code in zip(split, codes, strict=True) if None in code]
+        if gaps:
+            self.learn(list({w for words, code in gaps for w, c in zip(words, code, strict=True) if c is None}))
+            for words, code in gaps:
+                for at, c in enumerate(code):
+                    if c is None:
+                        code[at] = known[words[at]]
+        return [b"".join(code) for code in codes]
 
 
 def encoder(path: str) -> WordEncoder:
