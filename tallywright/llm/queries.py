@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallywright.llm.common import read_table
 from tallywright.llm.exact_dedup import exact_dedup
+from tallywright.llm.ngram_join import ngram_jaccard_join
 from tallywright.llm.packing import pack
 from tallywright.llm.quality_rules import quality_rules
 
@@ -16,6 +17,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_join(
+        read_table(spark, sf_dir, "documents"), size=3, threshold=(90, 100)
+    ).drop("kept")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -30,6 +37,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
