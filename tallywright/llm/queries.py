@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallywright.llm.chat import preference_pairs, swapped_answers
 from tallywright.llm.common import read_table
 from tallywright.llm.exact_dedup import exact_dedup
+from tallywright.llm.line_dedup import line_dedup
 from tallywright.llm.ngram_join import ngram_jaccard_join
 from tallywright.llm.packing import pack
 from tallywright.llm.quality_rules import quality_rules
@@ -36,8 +39,26 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup(docs).drop("source")
+
+
+def _listed(spans: Column) -> Column:
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+
+def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference_pairs(swapped_answers(read_table(spark, sf_dir, "conversations")))
+    return pairs.withColumns({c: _listed(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_preference_format": op2_preference_format,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op5_line_dedup": op5_line_dedup,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
@@ -49,6 +70,68 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS te
 FROM d JOIN g USING (text)
 """
 
+OP5_SQL = r"""
+WITH l AS (
+  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM documents),
+k AS (SELECT *, regexp_replace(line, '^[ \t-\r]+|[ \t-\r]+$', '', 'g') AS key FROM l),
+h AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+often AS (
+  SELECT source, key FROM (
+    SELECT source, key, count(DISTINCT doc_id) AS c FROM k WHERE key <> '' GROUP BY source, key)
+  JOIN h USING (source) WHERE c >= 5 AND c > 0.1 * n),
+m AS (SELECT k.*, often.key IS NOT NULL AS gone FROM k LEFT JOIN often USING (source, key))
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
+       count(*) FILTER (WHERE key <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped
+FROM m GROUP BY doc_id
+"""
+
+OP2_SQL = """
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations),
+last AS (
+  SELECT conv_id, max(turn) AS pos, arg_max(text, {'a': turn, 'b': text}) AS answer
+  FROM c WHERE role = 'assistant' GROUP BY conv_id),
+t AS (
+  SELECT conv_id AS pair_id, 'chosen' AS side, turn, role, text FROM c
+  UNION ALL
+  SELECT c.conv_id, 'rejected', turn, role, text FROM c LEFT JOIN last USING (conv_id)
+  WHERE pos IS NULL OR turn < pos
+  UNION ALL
+  SELECT l.conv_id, 'rejected', l.pos, 'assistant', o.answer
+  FROM last l JOIN last o ON o.conv_id = CASE WHEN l.conv_id % 2 = 0 THEN l.conv_id + 1 ELSE l.conv_id - 1 END),
+n AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) AS i FROM t),
+b AS (
+  SELECT coalesce(x.pair_id, y.pair_id) AS pair_id, coalesce(x.i, y.i) AS i,
+         coalesce(x.role = y.role AND x.text = y.text, false) AS same
+  FROM (SELECT * FROM n WHERE side = 'chosen') x
+  FULL JOIN (SELECT * FROM n WHERE side = 'rejected') y ON x.pair_id = y.pair_id AND x.i = y.i),
+p AS (SELECT pair_id, coalesce(min(i) FILTER (WHERE NOT same) - 1, max(i)) AS n_common FROM b GROUP BY pair_id),
+r AS (
+  SELECT n.*, n_common, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown
+  FROM n JOIN p USING (pair_id)),
+s AS (
+  SELECT *, sum(length(shown)) OVER (PARTITION BY pair_id, side ORDER BY i) AS after
+  FROM r WHERE i > n_common),
+done AS (
+  SELECT pair_id, side, string_agg(shown, '' ORDER BY i) AS body,
+         string_agg((after - length(shown) + length(role) + 5)::BIGINT || '-' || (after - 1)::BIGINT, ',' ORDER BY i)
+           FILTER (WHERE role = 'assistant') AS mask
+  FROM s GROUP BY pair_id, side),
+head AS (
+  SELECT pair_id, string_agg(shown, '' ORDER BY i) AS prompt FROM r
+  WHERE side = 'chosen' AND i <= n_common GROUP BY pair_id)
+SELECT p.pair_id, n_common, coalesce(prompt, '') AS prompt,
+       coalesce(x.body, '') AS chosen, coalesce(y.body, '') AS rejected,
+       coalesce(x.mask, '') AS chosen_mask, coalesce(y.mask, '') AS rejected_mask,
+       x.body IS NULL AND y.body IS NULL AS tie
+FROM p LEFT JOIN head USING (pair_id)
+LEFT JOIN done x ON x.pair_id = p.pair_id AND x.side = 'chosen'
+LEFT JOIN done y ON y.pair_id = p.pair_id AND y.side = 'rejected'
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_preference_format": OP2_SQL,
+    "op5_line_dedup": OP5_SQL,
     "op8_exact_dedup": OP8_SQL,
 }
