@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from tallywright.llm.chat import preference_pairs, swapped_answers
 from tallywright.llm.common import read_table
 from tallywright.llm.exact_dedup import exact_dedup
+from tallywright.llm.language_id import identify_language
 from tallywright.llm.line_dedup import line_dedup
 from tallywright.llm.ngram_join import ngram_jaccard_join
 from tallywright.llm.packing import pack
 from tallywright.llm.quality_rules import quality_rules
+from tallywright.llm.rule_ensemble import classify_quality
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,13 +57,23 @@ def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumns({c: _listed(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(read_table(spark, sf_dir, "documents"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_preference_format": op2_preference_format,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
+    "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 OP8_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
