@@ -12,6 +12,7 @@ from tallywright.llm.common import read_table
 from tallywright.llm.exact_dedup import exact_dedup
 from tallywright.llm.language_id import identify_language
 from tallywright.llm.line_dedup import line_dedup
+from tallywright.llm.mixing import domain_of, mix
 from tallywright.llm.ngram_join import ngram_jaccard_join
 from tallywright.llm.packing import pack
 from tallywright.llm.quality_rules import quality_rules
@@ -57,6 +58,15 @@ def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumns({c: _listed(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
 
 
+#: Token shares by domain that op1 mixes to.
+TARGETS = {"good": 0.90, "low": 0.05, "toxic": 0.05}
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = domain_of(read_table(spark, sf_dir, "labels"))
+    return mix(read_table(spark, sf_dir, "documents"), labels, TARGETS)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(read_table(spark, sf_dir, "documents"))
 
@@ -66,6 +76,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_preference_format": op2_preference_format,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
