@@ -11,6 +11,7 @@ from tallywright.llm.chat import preference_pairs, swapped_answers
 from tallywright.llm.common import read_table
 from tallywright.llm.exact_dedup import exact_dedup
 from tallywright.llm.language_id import identify_language
+from tallywright.llm.licenses import document_paths, scan_licenses
 from tallywright.llm.line_dedup import line_dedup
 from tallywright.llm.mixing import domain_of, mix
 from tallywright.llm.ngram_join import ngram_jaccard_join
@@ -67,6 +68,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents"), labels, TARGETS)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(document_paths(read_table(spark, sf_dir, "documents")), carry=("doc_id",))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(read_table(spark, sf_dir, "documents"))
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_preference_format": op2_preference_format,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_license_scan": op4_license_scan,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
