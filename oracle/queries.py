@@ -277,7 +277,7 @@ GROUP BY 1""")
 add("m_top_control_failures", f"""WITH {RECON}
 SELECT payment_id, invoice_id, merchant_id, payment_amount::DOUBLE AS payment_amount,
  status AS reconciliation_status FROM recon_payments r
-WHERE status IN ('UNMATCHED', 'DUPLICATE') ORDER BY r.payment_amount DESC, payment_id LIMIT 20""")
+WHERE status IN ('UNMATCHED', 'DUPLICATE')""")
 
 # ---------------------------------------------------------------- leakage
 

@@ -5,7 +5,11 @@ from __future__ import annotations
 from oracle.queries import MISSING_MONTHS, PAID, add, ym
 from tallywright.model import LOADED_REFERENCES, TABLES
 
-RAW = """raw_invoices AS (
+RAW = """repeated_transactions AS (
+ SELECT * EXCLUDE (again) REPLACE ((transaction_date + (CASE WHEN again = 1 THEN transaction_id % 2 ELSE 0 END)::INT)::DATE
+  AS transaction_date) FROM raw_transactions
+ JOIN (VALUES (0), (1)) AS r(again) ON again = 0 OR transaction_id % 31 = 0),
+raw_invoices AS (
  SELECT invoice_id, merchant_id, midx, billing_period_start, invoice_date + again AS invoice_date,
   CASE WHEN invoice_id % 37 <> 0 THEN due_date END AS due_date, expected_fee, k,
   CASE WHEN full_row THEN billed_fee END AS billed_fee,
@@ -32,10 +36,9 @@ raw_refunds AS (SELECT refund_id, transaction_id,
   refund_date + again AS refund_date, refund_amount, refund_status FROM refunds
  JOIN (VALUES (0), (1)) AS r(again) ON again = 0 OR refund_id % 23 = 0)"""
 SOURCE = {
-    name: f"raw_{name}"
-    if name in ("transactions", "invoices", "payments", "credit_notes", "refunds") else name
+    name: f"raw_{name}" if name in ("invoices", "payments", "credit_notes", "refunds") else name
     for name in TABLES
-}
+} | {"transactions": "repeated_transactions"}
 COLUMNS = {
     "merchants": "merchant_id merchant_name industry merchant_segment state country "
     "payment_terms_days merchant_status",
@@ -223,8 +226,7 @@ add("category_mix", union(
 # ---------------------------------------------------------------- cleaning
 
 FIRST_TRANSACTION = """first_transaction AS (SELECT *, row_number() OVER (PARTITION BY transaction_id
- ORDER BY l_partkey, l_suppkey, transaction_amount, merchant_id NULLS FIRST, transaction_date,
-  order_id, payment_status NULLS FIRST, refund_amount) AS rn FROM raw_transactions)"""
+ ORDER BY transaction_date) AS rn FROM repeated_transactions)"""
 CLEAN_TRANSACTION = f"""{FIRST_TRANSACTION}, kept_transaction AS (SELECT * FROM first_transaction
  WHERE rn = 1 AND merchant_id IS NOT NULL AND transaction_amount >= 0)"""
 
@@ -237,7 +239,7 @@ def first(t: str, order: str) -> str:
     )
 
 
-add("clean_transactions", f"""WITH {CLEAN_TRANSACTION}
+add("clean_transactions", f"""WITH {RAW}, {CLEAN_TRANSACTION}
 SELECT transaction_id, merchant_id, transaction_date, order_id,
  transaction_amount::DOUBLE AS transaction_amount,
  coalesce(payment_status, 'Unknown') AS payment_status, refund_amount::DOUBLE AS refund_amount,

@@ -73,13 +73,11 @@ SELECT invoice_id, merchant_id, total_invoice_amount::DOUBLE AS total_invoice_am
  paid::DOUBLE AS total_paid, n_paid AS payment_count, CASE WHEN n_paid = 0 THEN 'MISSING_PAYMENT'
  WHEN unpaid BETWEEN -1 AND 1 THEN 'MATCHED' WHEN unpaid > 0 THEN 'PARTIAL'
  ELSE 'AMOUNT_MISMATCH' END AS reconciliation_status FROM ledger WHERE invoice_status <> 'Void'""")
-add("sql_15", """WITH n AS (SELECT *, count(*) OVER w AS total,
-  (row_number() OVER (w ORDER BY payment_id) - 1) // 1000 AS part FROM payments
- WHERE payment_status = 'Success' AND invoice_id IS NOT NULL
- WINDOW w AS (PARTITION BY invoice_id, payment_amount))
-SELECT invoice_id, payment_amount::DOUBLE AS payment_amount, total AS payment_count,
- part AS id_part, string_agg(payment_id::VARCHAR, ',' ORDER BY payment_id) AS payment_ids
-FROM n WHERE total > 1 GROUP BY invoice_id, n.payment_amount, total, part""")
+add("sql_15", """WITH n AS (SELECT *,
+  count(*) OVER (PARTITION BY invoice_id, payment_amount) AS total FROM payments
+ WHERE payment_status = 'Success' AND invoice_id IS NOT NULL)
+SELECT invoice_id, payment_amount::DOUBLE AS payment_amount, total AS payment_count, payment_id
+FROM n WHERE total > 1""")
 add("sql_16", f"""WITH {MISSING_MONTHS}
 SELECT merchant_id, {ym('month')} AS txn_month FROM missing""")
 ORACLES["sql_17"] = ORACLES["x_invoices_without_payment"]
@@ -317,8 +315,7 @@ add("stratified_sample", f"""WITH {SAMPLE}
 SELECT merchant_id, merchant_name, merchant_segment FROM sample""")
 add("stratified_sample_tables", f"""WITH {SAMPLE},
 si AS (SELECT * FROM invoices WHERE merchant_id IN (SELECT merchant_id FROM sample)),
-st AS (SELECT * FROM transactions WHERE merchant_id IN (SELECT merchant_id FROM sample)
- ORDER BY md5(transaction_id || '-42'), transaction_id LIMIT 2500)
+st AS (SELECT * FROM transactions WHERE merchant_id IN (SELECT merchant_id FROM sample))
 SELECT 'merchants' AS table_name, count(*) AS row_count, NULL::DOUBLE AS amount FROM sample
 UNION ALL SELECT 'invoices', count(*), coalesce(sum(total_invoice_amount), 0)::DOUBLE FROM si
 UNION ALL SELECT 'payments', count(*), coalesce(sum(payment_amount), 0)::DOUBLE FROM payments

@@ -16,7 +16,6 @@ from tallywright.functions.dates import days_between, month_label, trailing
 from tallywright.functions.numeric import (
     count_where, dbl, money, percent, ratio, round_dp, sum_where, zero,
 )
-from tallywright.functions.relational import number_rows
 from tallywright.model import Tables
 from tallywright.operators.ledger import (
     applied, counted_credits, not_void, open_balance, paid_invoices, payment_dates, successful,
@@ -25,7 +24,7 @@ from tallywright.operators.ledger import (
 from tallywright.operators.receivables import is_open
 from tallywright.operators.reconciliation import TOLERANCE, repeated_payments
 
-IDS_PER_ROW = 1000
+SALTS = 16
 RECEIVED = "Payment Received"
 c = F.col
 
@@ -212,32 +211,21 @@ def reconciliation_status(tables: Tables) -> DataFrame:
     ).orderBy("reconciliation_status", "invoice_id")
 
 
-def duplicate_payment_lists(tables: Tables, ids_per_row: int = IDS_PER_ROW) -> DataFrame:
-    """Repeated (invoice, amount) pairs with the ids of their payments.
+def duplicate_payments(tables: Tables) -> DataFrame:
+    """Every payment of a repeated (invoice, amount) pair, with the pair's count.
 
-    A list is cut after ``ids_per_row`` ids and goes on in the next ``id_part``,
-    so no cell or task holds an unbounded group.  Positions come from a
-    distributed numbering of the repeated payments.
+    Payments are dealt by pair and salt, so one pair's repeats never meet in one task.
     """
     keys = ["invoice_id", "payment_amount"]
-    repeated = repeated_payments(tables["payments"])
-    members = applied(tables["payments"]).join(repeated.select(*keys), keys, "left_semi").select(
-        *keys, "payment_id"
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    repeated = repeated_payments(tables["payments"]).withColumn("_salt", F.explode(salts))
+    members = applied(tables["payments"]).select(
+        *keys, "payment_id", F.pmod(F.xxhash64("payment_id"), F.lit(SALTS)).cast("int").alias("_salt")
     )
-    numbered = number_rows(members, "_n", [F.asc(k) for k in (*keys, "payment_id")])
-    groups = numbered.groupBy(*keys).agg(
-        F.min("_n").alias("_first"), F.count(F.lit(1)).alias("payment_count")
-    )
-    part = F.floor((c("_n") - c("_first")) / ids_per_row).alias("id_part")
     return (
-        numbered.join(groups, keys)
-        .groupBy(*keys, "payment_count", part)
-        .agg(F.array_sort(F.collect_list("payment_id")).alias("_ids"))
-        .select(
-            *keys, "payment_count", "id_part",
-            F.array_join(F.transform("_ids", lambda i: i.cast("string")), ",").alias("payment_ids"),
-        )
-        .orderBy(F.desc("payment_count"), *keys, "id_part")
+        members.join(repeated, [*keys, "_salt"])
+        .select(*keys, "payment_count", "payment_id")
+        .orderBy(F.desc("payment_count"), *keys, "payment_id")
     )
 
 

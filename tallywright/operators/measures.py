@@ -250,11 +250,12 @@ def leakage_trend(events: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def top_control_failures(payments: DataFrame, top: int = 20) -> DataFrame:
-    """Highest-value unmatched or duplicate payments."""
-    return (
+def top_control_failures(payments: DataFrame, top: int | None = None) -> DataFrame:
+    """Unmatched or duplicate payments, highest value first; all of them unless ``top`` is given."""
+    ranked = (
         payments.where(c("reconciliation_status").isin("UNMATCHED", "DUPLICATE"))
         .select("payment_id", "invoice_id", "merchant_id", "payment_amount", "reconciliation_status")
-        .orderBy(F.desc("payment_amount"), "payment_id").limit(top)
+        .orderBy(F.desc("payment_amount"), "payment_id")
     )
+    return ranked if top is None else ranked.limit(top)
 

@@ -21,7 +21,6 @@ NOT_FOUND = "Not found"
 PAID_BUCKET = "Excluded (paid)"
 # Merchants per segment and transactions of the sample workbook.
 SAMPLE_SIZES = {"Enterprise": 4, "Mid-Market": 8, "SMB": 14, "Long-tail": 14}
-SAMPLE_TRANSACTIONS = 2500
 SAMPLE_SEED = 42
 c = F.col
 
@@ -200,13 +199,19 @@ def stratified_sample(
 def sample_tables(
     tables: Tables,
     sizes: Mapping[str, int] = SAMPLE_SIZES,
-    transactions: int = SAMPLE_TRANSACTIONS,
     seed: int = SAMPLE_SEED,
+    transactions: int | None = None,
 ) -> dict[str, DataFrame]:
-    """The sampled merchants and the rows of the other tables that belong to them."""
+    """The sampled merchants and all rows of the other tables that belong to them.
+
+    ``transactions`` asks for that many of the transactions only, in an order by key and seed.
+    """
     merchants = stratified_sample(tables["merchants"], sizes, seed)
     ids = merchants.select("merchant_id")
     invoices = tables["invoices"].join(ids, "merchant_id", "left_semi")
+    sold = tables["transactions"].join(ids, "merchant_id", "left_semi")
+    if transactions is not None:
+        sold = sold.orderBy(_shuffle_key("transaction_id", seed), "transaction_id").limit(transactions)
     return {
         "merchants": merchants,
         "invoices": invoices,
@@ -216,9 +221,7 @@ def sample_tables(
         "collection_activity": tables["collection_activity"].join(
             ids, "merchant_id", "left_semi"
         ),
-        "transactions": tables["transactions"].join(ids, "merchant_id", "left_semi")
-        .orderBy(_shuffle_key("transaction_id", seed), "transaction_id")
-        .limit(transactions),
+        "transactions": sold,
     }
 
 

@@ -314,7 +314,7 @@ RESULTS: dict[str, Result] = {
     "sql_12": lambda m: adhoc.misbilled_detail(m, under=True),
     "sql_13": lambda m: adhoc.misbilled_detail(m, under=False),
     "sql_14": adhoc.reconciliation_status,
-    "sql_15": adhoc.duplicate_payment_lists,
+    "sql_15": adhoc.duplicate_payments,
     "sql_16": adhoc.missing_invoice_months,
     "sql_17": adhoc.invoices_without_payment,
     "sql_18": adhoc.segment_summary,

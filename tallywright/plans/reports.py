@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from tallywright.functions.numeric import present
 from tallywright.model import Tables
 from tallywright.operators import (
     billing, cleaning, collections, leakage, quality, realization, receivables, reconciliation, star,
@@ -32,7 +31,7 @@ class Publisher:
         files.write_result(df, path)
         written = df.sparkSession.read.schema(df.schema).parquet(path)
         if self.csv:
-            files.write_csv(present(written), f"{self.folder}/csv/{name}")
+            files.write_csv(written, f"{self.folder}/csv/{name}")
         return written
 
 

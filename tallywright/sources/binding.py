@@ -13,14 +13,17 @@ import datetime as dt
 import hashlib
 from collections.abc import Callable, Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywright.functions.numeric import money
-from tallywright.functions.relational import as_of_value, keep_first
+from tallywright.functions.relational import as_of_value
+from tallywright.operators.derivations import DEFAULT_RATE
 from tallywright.session import work_folder
 
 AS_OF = dt.date(2001, 8, 13)
+#: Odd, so that ids spread over every remainder; more than an order has lines.
+IDS_PER_ORDER = 100003
 INPUTS = ("region", "nation", "customer", "orders", "lineitem", "events")
 
 _bound: dict[tuple[str, str, str], BoundModel] = {}
@@ -76,7 +79,7 @@ class BoundModel(Mapping[str, DataFrame]):
     def raw(self) -> dict[str, DataFrame]:
         """The nine tables as an uncleaned extract: repeats, gaps and invalid values."""
         tables = {name: self[name] for name in _BUILDERS if name != "raw_transactions"}
-        tables["transactions"] = self["raw_transactions"]
+        tables["transactions"] = _repeated_transactions(self["raw_transactions"])
         tables["invoices"] = _raw_invoices(tables["invoices"])
         tables["payments"] = _raw_payments(tables["payments"])
         tables["credit_notes"] = _raw_credit_notes(tables["credit_notes"])
@@ -157,8 +160,14 @@ def _raw_transactions(model: BoundModel) -> DataFrame:
     part = F.col("l_partkey")
     price = money(F.col("l_extendedprice"))
     returned = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
+    # line numbers repeat within an order, so a line's number is its place in the order; lines
+    # that are equal in all of these columns are interchangeable
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus"
+    ))
+    numbered = lines.withColumn("_place", place)
+    return numbered.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        (F.col("l_orderkey") * IDS_PER_ORDER + F.col("_place")).alias("transaction_id"),
         F.when(part % 97 == 5, None).otherwise(F.col("o_custkey")).alias("merchant_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         F.col("o_orderkey").alias("order_id"),
@@ -184,14 +193,11 @@ def _transactions(model: BoundModel) -> DataFrame:
     priced = as_of_value(
         usable, rates, key="merchant_id", fact_date="transaction_date",
         history_date="effective_from", values=["pct"],
-    ).where(F.col("pct").isNotNull())
-    one_each = keep_first(
-        priced, "transaction_id", ["l_partkey", "l_suppkey", "transaction_amount"]
-    )
+    ).withColumn("pct", F.coalesce("pct", F.lit(DEFAULT_RATE).cast("decimal(5,2)")))
     drift = F.when(F.col("l_partkey") % 25 == 4, F.lit("0.50").cast("decimal(5,2)")).otherwise(
         F.lit("0.00").cast("decimal(5,2)")
     )
-    return one_each.select(
+    return priced.select(
         "transaction_id", "merchant_id", "transaction_date", "order_id", "transaction_amount",
         F.coalesce("payment_status", F.lit("Unknown")).alias("payment_status"),
         "refund_amount",
@@ -371,6 +377,15 @@ def _refunds(model: BoundModel) -> DataFrame:
     )
 
 
+def _repeated_transactions(transactions: DataFrame) -> DataFrame:
+    """Some rows a second time: as they are, or with a date one day later."""
+    number = F.col("transaction_id")
+    again = transactions.where(number % 31 == 0).withColumn(
+        "transaction_date", F.date_add("transaction_date", (number % 2).cast("int"))
+    )
+    return transactions.unionByName(again)
+
+
 def _raw_invoices(invoices: DataFrame) -> DataFrame:
     number = F.col("invoice_id")
     blank = number % 41 == 0
@@ -428,7 +443,7 @@ def _raw_refunds(refunds: DataFrame) -> DataFrame:
 
 # Which of several rows with one id comes first.
 RAW_ORDERS = {
-    "transactions": ("l_partkey", "l_suppkey", "transaction_amount"),
+    "transactions": ("transaction_date",),
     "invoices": ("invoice_date",),
     "payments": ("payment_date",),
     "credit_notes": ("credit_note_date",),
