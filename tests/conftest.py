@@ -52,20 +52,27 @@ def by_key(df: DataFrame, key: str) -> dict:
     return {row[key]: row for row in df.collect()}
 
 
-COLLECTIONS_AS_OF = dt.date(2026, 6, 1)
+COLLECTIONS_AS_OF = dt.date(2024, 9, 30)
 
 
 @pytest.fixture(scope="session")
 def small(spark) -> dict[str, DataFrame]:
-    """Three payers: one prompt, one mixed with an overpayment, one long gone."""
+    """Four payers in the autumn of 2024; every invoice stands for one way to be (not) open."""
+    months = {m: (f"2024-{m:02}-01", f"2024-{m + 1:02}-01") for m in range(1, 12)}
+
+    def bill(name, merchant, month, due, total, status="Issued", paid="Unpaid"):
+        start, dated = months[month] if isinstance(month, int) else month
+        return (name, merchant, start, dated, due, total, total, total, status, paid)
+
     return {
         "merchants": frame(
             spark, "merchants",
             "merchant_id merchant_name merchant_segment payment_terms_days merchant_status",
             [
-                ("shop-a", "Prompt Ltd", "Enterprise", 30, "Active"),
-                ("shop-b", "Mixed & Co", "SMB", 15, "Active"),
-                ("shop-c", "Gone Traders", "Long-tail", 15, "Churned"),
+                ("kiln", "Kiln Ceramics", "Mid-Market", 30, "Active"),
+                ("loom", "Loom Weavers", "Long-tail", 15, "Active"),
+                ("mill", "Mill Holdings", "Enterprise", 45, "Active"),
+                ("quay", "Quay Imports", "SMB", 15, "Suspended"),
             ],
         ),
         "invoices": frame(
@@ -73,32 +80,35 @@ def small(spark) -> dict[str, DataFrame]:
             "invoice_id merchant_id billing_period_start invoice_date due_date "
             "total_invoice_amount billed_fee expected_fee invoice_status payment_status",
             [
-                ("same-day", "shop-a", "2025-11-01", "2025-12-01", "2026-01-01", 1000, 1000, 1000, "Paid", "Paid"),
-                ("partial", "shop-a", "2025-12-01", "2026-01-01", "2026-02-01", 2000, 2000, 2000, "Issued", "Partially Paid"),
-                ("failed", "shop-b", "2025-12-01", "2026-01-01", "2026-01-15", 500, 500, 500, "Issued", "Unpaid"),
-                ("twice", "shop-b", "2026-01-01", "2026-02-01", "2026-03-01", 300, 300, 300, "Paid", "Paid"),
-                ("ancient", "shop-c", "2024-12-01", "2025-01-01", "2025-02-01", 5000, 5000, 5000, "Issued", "Unpaid"),
-                ("credited", "shop-a", "2025-12-01", "2026-01-01", "2026-01-10", 1000, 1000, 1000, "Issued", "Unpaid"),
-                ("nothing", "shop-b", "2025-12-01", "2026-01-01", "2026-01-20", 0, 0, 0, "Paid", "Paid"),
+                bill("q-old", "quay", ("2023-01-01", "2023-02-01"), "2023-02-16", 6400),
+                bill("k-late", "kiln", 5, "2024-07-01", 840, "Paid", "Paid"),
+                bill("k-rest", "kiln", 6, "2024-07-31", 1260, paid="Partially Paid"),
+                bill("l-void", "loom", 6, "2024-07-16", 75, "Void"),
+                bill("l-over", "loom", 7, "2024-08-16", 210, "Paid", "Paid"),
+                bill("l-fail", "loom", 8, "2024-09-16", 130),
+                bill("m-note", "mill", 6, "2024-08-15", 3300),
+                bill("m-next", "mill", 8, "2024-10-16", 950),
+                bill("q-free", "quay", 3, "2024-04-16", 0, "Paid", "Paid"),
             ],
         ),
         "payments": frame(
             spark, "payments",
             "payment_id invoice_id merchant_id payment_date payment_amount payment_status settlement_date",
             [
-                ("pay-1", "same-day", "shop-a", "2026-01-01", 1000, "Success", None),
-                ("pay-2", "partial", "shop-a", "2026-02-10", 500, "Success", None),
-                ("pay-3", "twice", "shop-b", "2026-02-25", 300, "Success", None),
-                ("pay-4", "twice", "shop-b", "2026-02-25", 300, "Success", None),
-                ("pay-5", "nothing", "shop-b", "2026-01-01", 0, "Success", None),
-                ("pay-6", "failed", "shop-b", "2026-01-20", 500, "Failed", None),
+                ("1", "k-rest", "kiln", "2024-08-10", 300, "Success", "2024-08-12"),
+                ("2", "k-rest", "kiln", "2024-08-20", 120, "Success", None),
+                ("3", "k-late", "kiln", "2024-07-13", 840, "Success", "2024-07-15"),
+                ("4", "l-over", "loom", "2024-08-12", 210, "Success", None),
+                ("5", "l-over", "loom", "2024-08-14", 210, "Success", None),
+                ("6", "l-fail", "loom", "2024-09-18", 130, "Failed", None),
+                ("7", "q-free", "quay", "2024-04-20", 0, "Success", None),
             ],
         ),
         "credit_notes": frame(
             spark, "credit_notes", "credit_note_id invoice_id merchant_id credit_amount status",
             [
-                ("cn-1", "credited", "shop-a", 1000, "Issued"),
-                ("cn-2", "ancient", "shop-c", 4000, "Pending"),
+                ("a", "m-note", "mill", 2100, "Issued"), ("b", "m-note", "mill", 1200, "Applied"),
+                ("c", "m-next", "mill", 950, "Pending"),
             ],
         ),
         "collection_activity": frame(
@@ -106,47 +116,54 @@ def small(spark) -> dict[str, DataFrame]:
             "collection_id merchant_id invoice_id activity_date activity_type contact_channel "
             "outcome promised_payment_date",
             [
-                ("act-1", "shop-a", "partial", "2026-02-05", "Reminder", "Email", "No Response", None),
-                ("act-2", "shop-a", "partial", "2026-02-08", "Payment Promise", "Phone", "Promise to Pay", "2026-02-12"),
-                ("act-3", "shop-b", "failed", "2026-01-20", "Escalation", "Phone", "Escalated", None),
-                ("act-4", "shop-b", "twice", "2026-02-20", "Reminder", "WhatsApp", "Payment Received", None),
+                ("v", "kiln", "k-rest", "2024-08-01", "Phone", "Phone", "Promise to Pay", "2024-08-11"),
+                # kept too late for this date
+                ("w", "loom", "l-over", "2024-08-05", "Payment Promise", "WhatsApp", "Promise to Pay", "2024-08-09"),
                 # a promise without a date counts in the rate only
-                ("act-5", "shop-b", "failed", "2026-02-21", "Phone", "Phone", "Promise to Pay", None),
+                ("x", "quay", "q-old", "2024-09-02", "Escalation", "Phone", "Promise to Pay", None),
+                ("y", "loom", "l-fail", "2024-09-20", "Reminder", "Email", "No Response", None),
+                ("z", "kiln", "k-late", "2024-07-10", "Reminder", "Email", "Payment Received", None),
+                ("u", "quay", "q-old", "2024-09-09", "Email", "Email", "Disputed", None),
             ],
         ),
     }
 
 
-CONTROLS_AS_OF = dt.date(2026, 6, 1)
+CONTROLS_AS_OF = dt.date(2023, 12, 31)
 
 
 @pytest.fixture(scope="session")
 def controls(spark) -> dict[str, DataFrame]:
-    """One row per billing, reconciliation and leakage case."""
+    """A row per billing, reconciliation and leakage case, in 2023."""
     invoice = (
         "invoice_id merchant_id billing_period_start invoice_date due_date total_invoice_amount "
         "expected_fee billed_fee invoice_status payment_status invoice_error_flag"
     )
 
-    def may(name, total, status="Issued"):
-        return (name, "north", "2026-05-01", "2026-05-01", "2026-05-15", total, total, total,
-                status, "Unpaid", 0)
+    def billed(name, merchant, period, expected, fee, total=None):
+        year, month = int(period[:4]), int(period[5:7])
+        dated = f"{year + month // 12}-{month % 12 + 1:02}-02"
+        due = f"{year + month // 12}-{month % 12 + 1:02}-22"
+        wrong = int(fee is not None and fee != expected)
+        return (name, merchant, period, dated, due, fee if total is None else total, expected, fee,
+                "Issued", "Unpaid", wrong)
+
+    def settled(name, total, status="Issued"):
+        return (name, "oak", "2023-09-01", "2023-10-02", "2023-10-22", total, total, total, status, "Paid", 0)
 
     return {
         "merchants": frame(
             spark, "merchants",
             "merchant_id merchant_name merchant_segment payment_terms_days merchant_status",
-            [("north", "North", "Enterprise", 15, "Active"), ("south", "South", "SMB", 15, "Churned")],
+            [("oak", "Oak & Sons", "Mid-Market", 20, "Active"), ("elm", "Elm Estate", "Long-tail", 20, "Active")],
         ),
         "contracts": frame(
             spark, "contracts", "contract_id merchant_id effective_from transaction_fee_percent",
             [
-                ("k1", "north", "2025-06-01", 2.0),
-                ("k2", "north", "2026-03-01", 2.5),
-                ("k3", "south", "2026-01-01", 3.0),
-                # 45 and 46 days before the period starts of "edge-in" and "edge-out"
-                ("k4", "south", "2026-07-18", 3.1),
-                ("k5", "south", "2026-11-15", 3.2),
+                ("oak-1", "oak", "2022-04-01", 1.2), ("elm-1", "elm", "2022-10-01", 4.0),
+                ("oak-2", "oak", "2023-07-01", 1.6),
+                # 45 days before 2023-08-01, 46 before 2023-11-01
+                ("elm-2", "elm", "2023-06-17", 4.5), ("elm-3", "elm", "2023-09-16", 5.0),
             ],
         ),
         "transactions": frame(
@@ -154,55 +171,56 @@ def controls(spark) -> dict[str, DataFrame]:
             "transaction_id merchant_id transaction_date transaction_amount "
             "transaction_fee_percent expected_platform_fee payment_status refund_amount",
             [
-                ("t1", "north", "2026-01-15", 10000, 2.0, 200, "Success", 0),
-                ("t2", "north", "2026-02-15", 10000, 2.0, 200, "Success", 0),
-                ("t3", "north", "2026-03-10", 10000, 2.0, 250, "Success", 0),
-                ("t4", "south", "2026-01-20", 5000, 3.0, 150, "Success", 1000),
-                ("t5", "north", "2026-04-05", 8000, 2.5, 200, "Success", 0),
-                ("t6", "north", "2026-04-06", 900, 2.5, 22.5, "Failed", 0),
+                ("s1", "oak", "2023-02-03", 7500, 1.2, 90, "Success", 0),
+                ("s2", "elm", "2023-02-28", 2000, 4.0, 80, "Success", 500),
+                ("s3", "oak", "2023-07-14", 5000, 1.2, 80, "Success", 0),
+                ("s4", "oak", "2023-11-09", 4500, 1.6, 72, "Success", 0),
+                ("s5", "oak", "2023-11-30", 250, 1.6, 4, "Pending", 0),
+                ("s6", "elm", "2023-03-05", 1000, 4.0, 40, "Success", 0),
             ],
         ),
         "invoices": frame(
             spark, "invoices", invoice,
             [
-                ("right", "north", "2026-01-01", "2026-02-01", "2026-02-15", 200, 200, 200, "Issued", "Unpaid", 0),
-                ("short", "north", "2026-02-01", "2026-03-01", "2026-03-15", 150, 200, 150, "Issued", "Unpaid", 1),
-                ("stale-rate", "north", "2026-03-01", "2026-04-01", "2026-04-15", 200, 250, 200, "Issued", "Unpaid", 1),
-                ("refunded", "south", "2026-01-01", "2026-02-01", "2026-02-10", 150, 150, 150, "Issued", "Unpaid", 0),
-                # an error the other way round, just after a contract start
-                ("edge-in", "south", "2026-09-01", "2026-10-01", "2026-10-15", 120, 100, 120, "Issued", "Unpaid", 1),
-                ("edge-out", "south", "2026-12-31", "2027-01-01", "2027-01-15", 80, 100, 80, "Issued", "Unpaid", 1),
-                ("no-fee", "south", "2026-11-01", "2026-12-01", "2026-12-15", 80, 100, None, "Issued", "Unpaid", 0),
-                may("exact", 1000), may("unpaid", 1000), may("repeat", 1200), may("over", 1000),
-                may("early", 1000), may("part", 1000), may("void", 500, "Void"),
+                billed("fair", "oak", "2023-02-01", 90, 90),
+                billed("back", "elm", "2023-02-01", 80, 80),
+                billed("low", "elm", "2023-03-01", 40, 31),
+                billed("lag", "oak", "2023-07-01", 80, 60),
+                billed("day45", "elm", "2023-08-01", 70, 77),
+                billed("day46", "elm", "2023-11-01", 66, 55),
+                billed("next", "elm", "2023-12-01", 50, 50),
+                billed("blank", "elm", "2023-10-01", 90, None, total=64),
+                settled("whole", 720), settled("bounced", 333), settled("double", 480), settled("much", 150),
+                settled("before", 610), settled("some", 905), settled("gone", 44, "Void"),
             ],
         ),
         "payments": frame(
             spark, "payments",
             "payment_id invoice_id merchant_id payment_date payment_amount payment_status settlement_date",
             [
-                ("p-exact", "exact", "north", "2026-05-20", 1000, "Success", "2026-05-21"),
-                ("p-rep-1", "repeat", "north", "2026-05-20", 600, "Success", "2026-05-21"),
-                ("p-rep-2", "repeat", "north", "2026-05-21", 600, "Success", "2026-05-22"),
-                ("p-over", "over", "north", "2026-05-20", 1500, "Success", None),
-                ("p-early", "early", "north", "2026-05-20", 1000, "Success", "2026-05-18"),
-                ("p-part", "part", "north", "2026-05-20", 400, "Success", "2026-05-21"),
-                ("p-void", "void", "north", "2026-05-20", 500, "Success", "2026-05-21"),
-                ("p-orphan", None, "north", "2026-05-20", 250, "Success", "2026-05-21"),
-                ("p-orphan-2", None, "north", "2026-05-20", 250, "Success", "2026-05-21"),
-                ("p-ghost", "no-such", "north", "2026-05-20", 100, "Success", "2026-05-21"),
-                ("p-fail", "unpaid", "north", "2026-05-10", 1000, "Failed", None),
-                # failed, but not yet overdue
-                ("p-fail-2", "edge-in", "south", "2026-05-10", 120, "Failed", None),
+                ("whole-1", "whole", "oak", "2023-10-19", 720, "Success", "2023-10-20"),
+                ("some-1", "some", "oak", "2023-10-25", 300, "Success", "2023-10-26"),
+                ("some-2", "some", "oak", "2023-11-25", 250, "Success", "2023-11-26"),
+                ("double-1", "double", "oak", "2023-10-11", 240, "Success", "2023-10-12"),
+                ("double-2", "double", "oak", "2023-10-18", 240, "Success", None),
+                ("much-1", "much", "oak", "2023-10-21", 175, "Success", "2023-10-23"),
+                ("before-1", "before", "oak", "2023-10-30", 610, "Success", "2023-10-27"),
+                ("gone-1", "gone", "oak", "2023-10-30", 44, "Success", "2023-10-31"),
+                ("bounced-1", "bounced", "oak", "2023-10-05", 333, "Failed", None),
+                # failed, but the invoice is due after the last day of the books
+                ("late-1", "next", "elm", "2023-12-20", 50, "Failed", None),
+                ("stray-1", None, "elm", "2023-08-08", 18, "Success", "2023-08-09"),
+                ("stray-2", None, "elm", "2023-08-08", 18, "Success", "2023-08-09"),
+                ("wrong-1", "unheard-of", "elm", "2023-08-15", 25, "Success", None),
             ],
         ),
         "credit_notes": frame(
             spark, "credit_notes",
             "credit_note_id invoice_id merchant_id credit_note_date credit_amount status",
             [
-                ("c1", "short", "north", "2026-03-20", 30, "Pending"),
-                ("c2", "short", "north", "2026-03-21", 20, "Applied"),
-                ("c3", "edge-out", "south", "2027-01-20", 20, "Pending"),
+                ("n1", "low", "elm", "2023-05-01", 5, "Applied"),
+                ("n2", "low", "elm", "2023-05-02", 4, "Pending"),
+                ("n3", "day46", "elm", "2023-12-28", 11, "Pending"),
             ],
         ),
     }
