@@ -160,8 +160,15 @@ add("dim_merchant", """SELECT merchant_id, merchant_name, industry, merchant_seg
  (1.5 + (merchant_id % 5) * 0.4)::DECIMAL(9,4)::DOUBLE AS agreed_fee_percent,
  ((merchant_id % 4) * 100)::DOUBLE AS monthly_subscription_fee,
  payment_terms_days::BIGINT AS payment_terms_days, merchant_status FROM merchants""")
-add("dim_date", f"""WITH d AS (SELECT unnest(generate_series(min(billing_period_start),
- max(due_date), INTERVAL 1 DAY))::DATE AS date FROM invoices)
+CALENDAR = """days AS (
+ SELECT unnest([billing_period_start, invoice_date, due_date]) AS d FROM invoices
+ UNION ALL SELECT unnest([payment_date, settlement_date]) FROM payments
+ UNION ALL SELECT unnest([activity_date, promised_payment_date]) FROM collection_activity
+ UNION ALL SELECT DATE '2001-08-13'),
+calendar AS (SELECT make_date(year(min(d)), 1, 1) AS first_day, make_date(year(max(d)), 12, 31) AS last_day
+ FROM days)"""
+add("dim_date", f"""WITH {CALENDAR}, d AS (SELECT unnest(generate_series(first_day, last_day,
+ INTERVAL 1 DAY))::DATE AS date FROM calendar)
 SELECT date, strftime(date, '%Y%m%d')::BIGINT AS date_key, year(date) AS year, month(date) AS month,
  strftime(date, '%b') AS month_name, {ym('date')} AS year_month, 'Q' || quarter(date) AS quarter,
  dayname(date) AS day_of_week, date = last_day(date) AS is_month_end FROM d""")
@@ -173,10 +180,10 @@ add("fact_invoices", f"WITH {BILLING} {FACT_INVOICES}")
 add("fact_collection_activity", """SELECT collection_id, merchant_id, invoice_id, activity_date,
  activity_type, contact_channel, 'Agent ' || collection_id % 9 AS collector, outcome, promised_payment_date,
  promised_amount::DOUBLE AS promised_amount FROM collection_activity""")
-add("export_star", f"""WITH {LEAKAGE},
+add("export_star", f"""WITH {CALENDAR}, {LEAKAGE},
 {AGING.replace('paid AS (', 'paid_sum AS (').replace('LEFT JOIN paid p', 'LEFT JOIN paid_sum p')}
 SELECT 'dim_merchant' AS table_name, count(*) AS row_count FROM merchants
-UNION ALL SELECT 'dim_date', max(due_date) - min(billing_period_start) + 1 FROM invoices
+UNION ALL SELECT 'dim_date', last_day - first_day + 1 FROM calendar
 UNION ALL SELECT 'fact_invoices', count(*) FROM invoices
 UNION ALL SELECT 'fact_payments', count(*) FROM payments
 UNION ALL SELECT 'fact_collection_activity', count(*) FROM collection_activity

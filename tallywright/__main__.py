@@ -19,7 +19,7 @@ def run(spark: SparkSession, raw: str, out: str, as_of: dt.date, csv: bool = Fal
     cleaned = validate_and_clean(read_raw_tables(spark, raw), f"{out}/quality", csv=csv)
     model = load_model(cleaned, f"{out}/model")
     reports = publish_reports(model, as_of, f"{out}/reports", csv=csv)
-    publish_star(model, reports, f"{out}/star")
+    publish_star(model, reports, f"{out}/star", as_of)
 
 
 def main() -> None:

@@ -52,6 +52,11 @@ class TableSpec:
         return T.StructType.fromDDL(self.columns)
 
 
+# Columns that reading a raw extract adds: names of cells that did not fit their type, and the
+# row's place in the source.
+UNREADABLE = "_unreadable"
+SOURCE_ORDER = "_source_order"
+
 # Label domains of the finance model.
 SEGMENTS = ("Enterprise", "Mid-Market", "SMB", "Long-tail")
 MERCHANT_STATUSES = ("Active", "Churned", "Suspended")

@@ -13,15 +13,22 @@ from pyspark.sql import functions as F
 
 from tallywright.functions.numeric import count_where, money
 from tallywright.functions.relational import keep_first
-from tallywright.model import TABLES, Tables
-from tallywright.operators.quality import union_all
+from tallywright.model import SOURCE_ORDER, TABLES, UNREADABLE, Tables
+from tallywright.operators.quality import unreadable, union_all
 
 DEFAULT_TERMS_DAYS = 30  # fixed value: payment terms when the due date is missing
 UNKNOWN_STATUS = "Unknown"
 
 
+def _survivors(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """The first row per key; without another order, the first one in the source files."""
+    if not order_by and SOURCE_ORDER in df.columns:
+        order_by = (SOURCE_ORDER,)
+    return keep_first(df, key, order_by)
+
+
 def dedupe_pk(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
-    return keep_first(df, key, order_by).drop("_copies")
+    return _survivors(df, key, order_by).drop("_copies")
 
 
 def clean_transactions(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
@@ -55,7 +62,11 @@ def clean_invoices(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
         for name, value in rebuilt.items()
         if name in df.columns
     }
-    due = F.coalesce("due_date", F.date_add("invoice_date", DEFAULT_TERMS_DAYS))
+    # a date that cannot be read is reported, not made up
+    due = F.when(
+        F.col("due_date").isNull() & ~unreadable(df, "due_date"),
+        F.date_add("invoice_date", DEFAULT_TERMS_DAYS),
+    ).otherwise(F.col("due_date"))
     return deduped.withColumns({**fixed, "due_date": due})
 
 
@@ -97,7 +108,7 @@ def clean_all(tables: Tables, orders: dict[str, Sequence[str]] | None = None) ->
             cleaned[name] = clean_refunds(tables[name], cleaned["transactions"], order)
         else:
             cleaned[name] = dedupe_pk(tables[name], TABLES[name].key, order)
-    return cleaned
+    return {name: df.drop(UNREADABLE, SOURCE_ORDER) for name, df in cleaned.items()}
 
 
 def _steps(df: DataFrame, table: str, steps: list[tuple[str, Column]]) -> DataFrame:
@@ -126,7 +137,7 @@ def cleaning_stats(
     transactions = clean_transactions(tables["transactions"], orders.get("transactions", ()))
     for name in TABLES:
         spec = TABLES[name]
-        survivors = keep_first(tables[name], spec.key, orders.get(name, ()))
+        survivors = _survivors(tables[name], spec.key, orders.get(name, ()))
         steps = [("rows_before", before), ("duplicate_rows_dropped", dropped)]
         everything = F.count(F.lit(1))
         merchant = F.col("merchant_id")
@@ -141,7 +152,9 @@ def cleaning_stats(
             ]
         elif name == "invoices":
             steps += [
-                ("missing_due_date_filled", count_where(F.col("due_date").isNull())),
+                ("missing_due_date_filled", count_where(
+                    F.col("due_date").isNull() & ~unreadable(tables[name], "due_date")
+                )),
                 ("incomplete_amounts_rebuilt", count_where(_incomplete())),
                 ("rows_after", everything),
             ]

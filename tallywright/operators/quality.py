@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tallywright.functions.dates import month_label
 from tallywright.functions.numeric import count_where, money, round_dp, zero
 from tallywright.model import (
-    EARLIEST_DATE, LATEST_DATE, LOADED_REFERENCES, TABLES, Reference, Tables,
+    EARLIEST_DATE, LATEST_DATE, LOADED_REFERENCES, TABLES, UNREADABLE, Reference, Tables,
 )
 from tallywright.operators.ledger import (
     applied, not_void, paid_by_invoice, uninvoiced_months,
@@ -61,12 +61,28 @@ def _as_date(df: DataFrame, column: str) -> Column:
 
 # ---- single checks: each takes a frame and yields one count or several ----
 
+def unreadable(df: DataFrame, column: str) -> Column:
+    """Whether the source had text for this NULL cell that did not fit its type."""
+    if UNREADABLE not in df.columns:
+        return F.lit(False)
+    return F.array_contains(UNREADABLE, column)
+
+
 def missing_values(df: DataFrame, columns: Iterable[str]) -> list[tuple[str, str, Column]]:
     return [
-        ("missing_values", c, count_where(F.col(c).isNull())) for c in columns if c in df.columns
+        ("missing_values", c, count_where(F.col(c).isNull() & ~unreadable(df, c)))
+        for c in columns if c in df.columns
     ]
 
 
+def unreadable_values(df: DataFrame, dates: Iterable[str]) -> list[tuple[str, str, Column]]:
+    """Cells of other kinds than dates that did not fit their type; only raw extracts have any."""
+    if UNREADABLE not in df.columns:
+        return []
+    typed = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    return [("unreadable_values", c, count_where(unreadable(df, c))) for c in typed if c not in dates]
+
+
 def invalid_dates(
     df: DataFrame, columns: Iterable[str], earliest: str, latest: str
 ) -> list[tuple[str, str, Column]]:
@@ -76,7 +92,7 @@ def invalid_dates(
         if c in df.columns:
             parsed = _as_date(df, c)
             inside = parsed.between(F.lit(earliest).cast("date"), F.lit(latest).cast("date"))
-            bad = F.col(c).isNotNull() & ~F.coalesce(inside, F.lit(False))
+            bad = (F.col(c).isNotNull() & ~F.coalesce(inside, F.lit(False))) | unreadable(df, c)
             found.append(("invalid_dates", c, count_where(bad)))
     return found
 
@@ -259,6 +275,7 @@ def findings(
             ("rows", None, F.count(F.lit(1))),
             *missing_values(df, spec.required),
             *invalid_dates(df, spec.dates, earliest, latest),
+            *unreadable_values(df, spec.dates),
             *date_order(df, spec.ordered_dates),
             *negative_amounts(df, spec.non_negative),
             *out_of_range(df, spec.ranges),

@@ -57,10 +57,19 @@ def dim_date(days: DataFrame) -> DataFrame:
     )
 
 
-def invoice_calendar(tables: Tables) -> DataFrame:
-    """First to last day the invoices touch: period start to due date."""
-    return tables["invoices"].agg(
-        F.min("billing_period_start").alias("first_day"), F.max("due_date").alias("last_day")
+def fact_calendar(tables: Tables, as_of: dt.date) -> DataFrame:
+    """Whole years around every date of the five facts; leakage is dated ``as_of``."""
+    spans = [
+        tables[name].agg(F.min(column).alias("first_day"), F.max(column).alias("last_day"))
+        for name, columns in CALENDAR_DATES.items() for column in columns
+    ]
+    span = tables["invoices"].sparkSession.createDataFrame([(as_of, as_of)], "first_day date, last_day date")
+    for other in spans:
+        span = span.unionByName(other)
+    first, last = F.year(F.min("first_day")), F.year(F.max("last_day"))
+    return span.agg(
+        F.make_date(first, F.lit(1), F.lit(1)).alias("first_day"),
+        F.make_date(last, F.lit(12), F.lit(31)).alias("last_day"),
     )
 
 
@@ -85,7 +94,7 @@ def star(tables: Tables, billing: DataFrame, as_of: dt.date) -> dict[str, DataFr
     """All seven frames by name."""
     return {
         "dim_merchant": dim_merchant(tables),
-        "dim_date": dim_date(invoice_calendar(tables)),
+        "dim_date": dim_date(fact_calendar(tables, as_of)),
         "fact_invoices": fact_invoices(tables),
         "fact_payments": fact_payments(tables),
         "fact_collection_activity": fact_collection_activity(tables),
@@ -94,6 +103,12 @@ def star(tables: Tables, billing: DataFrame, as_of: dt.date) -> dict[str, DataFr
     }
 
 
+CALENDAR_DATES = {
+    "invoices": ("billing_period_start", "invoice_date", "due_date"),
+    "payments": ("payment_date", "settlement_date"),
+    "collection_activity": ("activity_date", "promised_payment_date"),
+}
+
 # Date that places a fact row in a month, for partitioned files.
 FACT_DATES = {
     "fact_invoices": "invoice_date",

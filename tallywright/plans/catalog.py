@@ -330,7 +330,7 @@ RESULTS: dict[str, Result] = {
     "sql_28": adhoc.refund_rate_by_industry,
     # star schema and measures
     "dim_merchant": lambda m: star.dim_merchant(_with_profiles(m)),
-    "dim_date": lambda m: star.dim_date(star.invoice_calendar(m)),
+    "dim_date": lambda m: star.dim_date(star.fact_calendar(m, m.as_of)),
     "fact_invoices": star.fact_invoices,
     "fact_payments": star.fact_payments,
     "fact_collection_activity": lambda m: star.fact_collection_activity(_with_profiles(m)),

@@ -105,12 +105,12 @@ def publish_reports(
     return done
 
 
-def publish_star(tables: Tables, reports: Tables, folder: str) -> None:
+def publish_star(tables: Tables, reports: Tables, folder: str, as_of: dt.date) -> None:
     """The star schema, its pass-through facts taken from the published reports."""
     files.export_star(
         {
             "dim_merchant": star.dim_merchant(tables),
-            "dim_date": star.dim_date(star.invoice_calendar(tables)),
+            "dim_date": star.dim_date(star.fact_calendar(tables, as_of)),
             "fact_invoices": star.fact_invoices(tables),
             "fact_payments": reports["reconciliation_payments"],
             "fact_collection_activity": star.fact_collection_activity(tables),

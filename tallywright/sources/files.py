@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywright.functions.dates import month_label
-from tallywright.model import TABLES, Tables
+from tallywright.model import SOURCE_ORDER, TABLES, UNREADABLE, Tables
 from tallywright.operators.quality import require_sound
 from tallywright.operators.star import FACT_DATES
 
 CORRUPT = "_corrupt_record"
+YES_NO = {"true": "1", "false": "0"}
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -28,11 +29,38 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
+def scan_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Header CSV, read as text and typed after, so that no cell is lost unseen.
+
+    Cells that do not fit their type become NULL and are named in ``UNREADABLE``; flags may be
+    written true/false.  ``SOURCE_ORDER`` is a row's place: file, block and row in the block.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    lines = spark.read.schema(text).option("header", True).csv(path)
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    typed, unreadable = [], []
+    for field in schema.fields:
+        cell = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            typed.append(cell)
+            continue
+        if isinstance(field.dataType, (T.IntegerType, T.LongType)):
+            cell = F.coalesce(*[F.when(F.lower(cell) == word, digit) for word, digit in YES_NO.items()], cell)
+        value = cell.try_cast(field.dataType)
+        typed.append(value.alias(field.name))
+        unreadable.append(F.when(cell.isNotNull() & value.isNull(), F.lit(field.name)))
+    return lines.select(
+        *typed, F.array_compact(F.array(*unreadable)).alias(UNREADABLE), place.alias(SOURCE_ORDER)
+    )
+
+
 def read_raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The nine CSV files of a raw extract."""
+    """The nine CSV files (or folders of them) of a raw extract."""
     return {
-        name: scan_csv(spark, f"{folder}/{name}.csv", spec.schema).drop(CORRUPT)
-        for name, spec in TABLES.items()
+        name: scan_raw_csv(spark, f"{folder}/{name}.csv", spec.schema) for name, spec in TABLES.items()
     }
 
 

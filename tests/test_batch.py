@@ -8,11 +8,11 @@ import json
 import pytest
 
 from tallywright.__main__ import run
-from tallywright.functions.numeric import present
 from tallywright.model import TABLES
-from tallywright.operators import leakage, receivables
+from tallywright.operators import leakage, quality, receivables
 from tallywright.operators.billing import billing_merchant_month
-from tallywright.sources.files import read_model
+from tallywright.operators.cleaning import clean_all
+from tallywright.sources.files import read_model, read_raw_tables
 
 AS_OF = dt.date(2026, 6, 1)
 
@@ -92,7 +92,8 @@ def test_reports(spark, out):
     assert report("revenue_leakage").count() == events.count()
     assert report("collection_priority_queue").count() == 2
     text = spark.read.option("header", True).csv(f"{out}/reports/csv/ar_aging")
-    assert text.columns == present(report("ar_aging")).columns
+    assert text.columns == report("ar_aging").columns
+    assert {r.outstanding_amount for r in text.collect()} == {"34.40", "212.40"}
 
 
 def test_json_summary(out):
@@ -121,3 +122,49 @@ def test_quality_outputs(spark, out):
     assert stats["transactions", "rows_before"] == 6
     assert stats["transactions", "rows_after"] == 3
     assert stats["refunds", "parent_dropped"] == 1
+
+
+def test_no_fact_date_is_missing_from_the_calendar(spark, out):
+    days = {r.date for r in spark.read.parquet(f"{out}/star/dim_date").select("date").collect()}
+    for name, columns in {
+        "fact_invoices": ("invoice_date", "due_date"), "fact_payments": ("payment_date",),
+        "fact_collection_activity": ("activity_date",), "fact_leakage": ("detection_date",),
+        "fact_ar_aging": ("invoice_date",),
+    }.items():
+        for r in spark.read.parquet(f"{out}/star/{name}").select(*columns).collect():
+            assert {d for d in r if d is not None} <= days
+    assert min(days).strftime("%m-%d") == "01-01" and max(days).strftime("%m-%d") == "12-31"
+
+
+def test_unreadable_cells_are_reported_and_left_alone(spark, tmp_path):
+    raw = {k: v for k, v in RAW.items()}
+    raw["invoices"] = raw["invoices"].replace("80,1\n", "80,True\n").replace("180,,0\n", "180,,False\n") + (
+        "i3,m1,2026-02-01,2026-02-28,2026-03-02,31/03/2026,7,0,7,0.18,1.26,n/a,INR,Issued,Unpaid,7,7,False\n"
+    )
+    for name, text in raw.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    tables = read_raw_tables(spark, str(tmp_path))
+    flags = {r.invoice_id: r.invoice_error_flag for r in tables["invoices"].collect()}
+    assert flags == {"i1": 1, "i2": 0, "i3": 0}
+    found = {
+        (r.check_name, r.column_name): r.violations
+        for r in quality.findings(tables, ["invoices"]).collect()
+    }
+    assert found["invalid_dates", "due_date"] == 1 and found["unreadable_values", "total_invoice_amount"] == 1
+    assert found["missing_values", "due_date"] == 1  # the empty one of "i2"
+    cleaned = {r.invoice_id: r for r in clean_all(tables)["invoices"].collect()}
+    assert cleaned["i3"].due_date is None and cleaned["i2"].due_date == dt.date(2026, 3, 4)
+
+
+def test_the_first_row_in_the_files_stays(spark, tmp_path):
+    for name, text in RAW.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    head, *rows = RAW["payments"].splitlines()
+    (tmp_path / "payments.csv").unlink()
+    (tmp_path / "payments.csv").mkdir()
+    again = rows[0].replace(",40,", ",39,")
+    (tmp_path / "payments.csv" / "a.csv").write_text("\n".join([head, rows[0], rows[1]]) + "\n")
+    (tmp_path / "payments.csv" / "b.csv").write_text("\n".join([head, again]) + "\n")
+    cleaned = clean_all(read_raw_tables(spark, str(tmp_path)))["payments"].where("payment_id = 'p1'").collect()
+    assert [float(r.payment_amount) for r in cleaned] == [40]
+    assert cleaned[0].asDict().keys() >= {"payment_id"} and "_source_order" not in cleaned[0].asDict()
