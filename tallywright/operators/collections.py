@@ -206,8 +206,8 @@ def payer_segment_counts(behavior: DataFrame) -> DataFrame:
     return payer_segment_summary(behavior).select("payer_segment", "merchant_count")
 
 
-def collection_queue(tables: Tables, aging: DataFrame, behavior: DataFrame) -> DataFrame:
-    """Overdue invoices ranked by priority score; ties by balance, then invoice id."""
+def scored_invoices(tables: Tables, aging: DataFrame, behavior: DataFrame) -> DataFrame:
+    """Overdue invoices with priority score, tier and action, in no order."""
     overdue = aging.where(F.col("days_overdue") > 0)
     largest = overdue.agg(F.max("outstanding_amount")).scalar()
     # one row per merchant on both sides before the invoices come in
@@ -234,7 +234,7 @@ def collection_queue(tables: Tables, aging: DataFrame, behavior: DataFrame) -> D
         + F.lit(CUSTOMER_WEIGHT) * dbl(customer_risk),
         1,
     )
-    scored = (
+    return (
         overdue.join(customer, "merchant_id", "left")
         .withColumn("payer_segment", F.coalesce("payer_segment", F.lit("Insufficient Data")))
         .withColumn("priority_score", score)
@@ -248,6 +248,11 @@ def collection_queue(tables: Tables, aging: DataFrame, behavior: DataFrame) -> D
             "priority_score", "priority_tier", "recommended_action",
         )
     )
+
+
+def collection_queue(tables: Tables, aging: DataFrame, behavior: DataFrame) -> DataFrame:
+    """Overdue invoices ranked by priority score; ties by balance, then invoice id."""
+    scored = scored_invoices(tables, aging, behavior)
     order = [F.desc("priority_score"), F.desc("outstanding_amount"), F.asc("invoice_id")]
     ranked = number_rows(scored, "priority_rank", order)
     return ranked.select("priority_rank", *scored.columns)

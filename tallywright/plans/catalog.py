@@ -295,7 +295,7 @@ RESULTS: dict[str, Result] = {
     "payer_segment_summary": lambda m: collections.payer_segment_summary(_behavior(m)),
     "payer_segment_counts": lambda m: collections.payer_segment_counts(_behavior(m)),
     "collection_queue": _queue,
-    "priority_tier": lambda m: _queue(m).groupBy("priority_tier", "recommended_action").agg(
+    "priority_tier": lambda m: collections.scored_invoices(m, _aging(m), _behavior(m)).groupBy("priority_tier", "recommended_action").agg(
         F.count(F.lit(1)).alias("invoice_count")
     ),
     "collections_summary": _flat_summary,
