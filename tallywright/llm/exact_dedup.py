@@ -128,8 +128,11 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bucketed(heads: DataFrame, bucket_bytes: int, fan_out: int) -> DataFrame:
-    """Heads with the bucket they end in: oversize buckets go on to the next level's spill table."""
+def _bucketed(heads: DataFrame, bucket_bytes: int, fan_out: int) -> tuple[DataFrame, int]:
+    """Heads with the bucket they end in, and the number of first buckets, which follows the data.
+
+    Oversize buckets go on to the next level's spill table.
+    """
     sizes = heads.select("_hash", F.length("_content").alias("n"))
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(1, -(-2 * total // bucket_bytes))
@@ -142,7 +145,7 @@ def _bucketed(heads: DataFrame, bucket_bytes: int, fan_out: int) -> DataFrame:
             .where((F.col("n") > bucket_bytes) & (F.col("k") > 1)).select("_bucket")
         )
         if large.isEmpty():
-            return rest if done is None else done.unionByName(rest)
+            return (rest if done is None else done.unionByName(rest)), parts
         large = written(large, f"grace-large-{level}")
         fits = rest.join(large, "_bucket", "left_anti")
         done = fits if done is None else done.unionByName(fits)
@@ -179,9 +182,10 @@ def exact_dedup(
     ])
     rows = written(source.mapInArrow(_heads_of_task(bucket_bytes), schema), "grace-rows")
     heads = rows.where(F.col("_content").isNotNull()).select("_row", "_hash", "_content")
+    bucketed, parts = _bucketed(heads, bucket_bytes, fan_out)
+    tasks = max(parts, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     firsts = (
-        _bucketed(heads, bucket_bytes, fan_out)
-        .repartition("_bucket").sortWithinPartitions("_bucket")
+        bucketed.repartition(tasks, "_bucket").sortWithinPartitions("_bucket")
         .mapInArrow(_match, "_head long, _first long")
     )
     light = rows.select("_carried", "_row", "_head", "text_sha256")
