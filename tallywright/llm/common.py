@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +25,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for made in _watching:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_watching: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def working_tables() -> Iterator[list[str]]:
+    """The paths of the tables that ``written`` makes inside."""
+    made: list[str] = []
+    _watching.append(made)
+    try:
+        yield made
+    finally:
+        _watching.remove(made)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete working tables that nothing reads any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    paths.clear()
+
+
 def words_of(text: Column) -> Column:
     """The words of a text (null: none) as an array of strings."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
@@ -41,3 +69,10 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that a task holds few at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)

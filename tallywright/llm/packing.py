@@ -18,7 +18,6 @@ and the order of reading, so results do not depend on where tasks run.
 from __future__ import annotations
 
 import os
-
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -30,9 +29,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywright.llm.common import written
+from tallywright.llm.common import sliced, written
 
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 600_000
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -101,7 +100,7 @@ def _pieces(tokenizer: str, end_id: int, max_tokens: int, with_ids: bool):
         code, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         row = TaskContext.get().partitionId() << 33
         width = 4 * max_tokens
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("_text").cast(pa.binary()).to_pylist()
             source, out = [], []
             for at, ids in enumerate(code.encode(texts)):
