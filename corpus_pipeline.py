@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import read_table, written
+from tallywright.llm.common import drop_tables, read_table, working_tables, written
 from tallywright.llm.line_dedup import line_dedup
 from tallywright.llm.mixing import domain_of, mix
 from tallywright.llm.ngram_join import ngram_jaccard_join
@@ -34,7 +35,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near copies (five words, 0.8)."""
     columns = tuple(docs.columns)
-    joined = ngram_jaccard_join(docs, carry=columns)
+    joined = ngram_jaccard_join(docs, carry=columns, sub_parts=2)
     return joined.where("kept").select(*columns)
 
 
@@ -51,12 +52,29 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, tokenizer=public_tokenizers.path("word_bpe_49k.json"))
 
 
+_working: list[str] = []
+
+
+def _tidy(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Drop the stage before's working tables: its result, which read them, is written by now."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_tables(spark, _working)
+        with working_tables() as made:
+            result = stage(spark, docs, sf_dir)
+        _working[:] = made
+        return result
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality),
-    ("line_dedup", lines),
-    ("near_duplicates", near_duplicates),
-    ("mixing", mixture),
-    ("packing", packed),
+    ("quality_rules", _tidy(quality)),
+    ("line_dedup", _tidy(lines)),
+    ("near_duplicates", _tidy(near_duplicates)),
+    ("mixing", _tidy(mixture)),
+    ("packing", _tidy(packed)),
 ]
 
 #: The divergence, the trained classifier and the tokenizer are beyond SQL; tests hold each

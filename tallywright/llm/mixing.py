@@ -238,8 +238,7 @@ def mix(
     ]
     measured = written(_statistics(source, marked).drop("_text"), "mix-statistics")
     scored, domains = _posteriors(measured, known, temper)
-    scored = written(scored, "mix-posteriors")
-    rate, _ = solve(scored.select("_n", "_p"), domains, targets, floor, budget)
+    rate, _ = solve(written(scored.select("_n", "_p"), "mix-posteriors"), domains, targets, floor, budget)
     chance = F.pmod(F.xxhash64("_id", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     rated = scored.withColumn("_rate", rate)
     copies = F.floor("_rate") + (chance < F.col("_rate") - F.floor("_rate")).cast("long")

@@ -3,7 +3,7 @@
 Sets are put into size bands; two similar sets lie in one band or in neighbouring ones, and
 differ in at most k elements, k following from the band's largest size.  Elements are
 dealt by hash into (k + 1) / 2 parts of three sub-parts each: some part differs in at most
-one element, so two of its three sub-parts agree, and each pair of sub-parts is a signature.
+one element, so all but one of its sub-parts agree, and each choice of these is a signature.
 
 Signatures lead to families (sets tied by shared signatures), not to pairs, since a large
 group of near copies shares most of them.  A family is compared with one of its sets, the
@@ -34,16 +34,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywright.llm.common import written
+from tallywright.llm.common import sliced, written
 from tallywright.llm.components import connected_components
 
-SALTS = 16
+SALTS = 64
+#: Members of a family for which it gets another salt.
+ROWS_PER_SALT = 500
 BROADCAST_ROWS = 1_000_000
+#: Word hashes and set fingerprints that a task remembers; it forgets them all beyond.
+CACHED = 250_000
 
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > CACHED:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -84,8 +88,11 @@ def bands(num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(tops), np.array([2 * top * (den - num) // (den + num) for top in tops])
 
 
-def signatures(elements: np.ndarray, num: int, den: int) -> np.ndarray:
-    """PartEnum signatures of a set for its own size band and the next one."""
+def signatures(elements: np.ndarray, num: int, den: int, sub: int = 3) -> np.ndarray:
+    """PartEnum signatures of a set for its own size band and the next one.
+
+    48 bits each: chance agreements only join families, whose links are verified.
+    """
     tops, most = bands(num, den)
     own = int(np.searchsorted(tops, len(elements)))
     spread = mix(elements + np.uint64(0x5851F42D4C957F2D))
@@ -97,41 +104,57 @@ def signatures(elements: np.ndarray, num: int, den: int) -> np.ndarray:
             parts = content.sum(dtype=np.uint64).reshape(1, 1)
         else:
             first = (k + 2) // 2
-            cells = np.zeros(first * 3, dtype=np.uint64)
-            at = (spread % np.uint64(first)) * np.uint64(3) + (spread >> np.uint64(40)) % np.uint64(3)
+            cells = np.zeros(first * sub, dtype=np.uint64)
+            at = (spread % np.uint64(first)) * np.uint64(sub) + (spread >> np.uint64(40)) % np.uint64(sub)
             np.add.at(cells, at.astype(np.int64), content)
-            cells = cells.reshape(first, 3)
+            cells = cells.reshape(first, sub)
             parts = cells.sum(axis=1, keepdims=True, dtype=np.uint64) - cells
         label = mix(np.arange(parts.size, dtype=np.uint64) + np.uint64(band << 40))
         found.append(mix(parts.reshape(-1) + label))
-    return np.concatenate(found).view(np.int64)
+    return (np.concatenate(found) >> np.uint64(16)).view(np.int64)
+
+
+def _signed(size: int, num: int, den: int, sub: int):
+    """Row and signatures of each head."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            texts = batch.column("_text").cast(pa.binary()).to_pylist()
+            found = [signatures(shingle_set(t, size), num, den, sub) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_row"), pa.array(found, pa.list_(pa.int64()))], names=["_row", "_signatures"]
+            )
+
+    return run
+
 
+def _named(size: int):
+    """Row number, set size, fingerprint, and whether the task meets the set first (a head)."""
 
-def _sign(size: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, seen = TaskContext.get().partitionId() << 33, set()
-        for batch in batches:
-            rows, sizes, nodes, signed = [], [], [], []
+        for batch in sliced(batches):
+            rows, sizes, nodes, heads = [], [], [], []
             for text in batch.column("_text").cast(pa.binary()).to_pylist():
                 elements = shingle_set(text, size)
                 node = xxhash.xxh3_128_digest(elements.tobytes()) if len(elements) else None
                 new = node is not None and node not in seen
                 if new:
-                    if len(seen) > 1_000_000:
+                    if len(seen) > CACHED:
                         seen.clear()
                     seen.add(node)
                 rows.append(row)
                 sizes.append(len(elements))
                 nodes.append(node)
-                signed.append(signatures(elements, num, den) if new else None)
+                heads.append(new)
                 row += 1
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_carried"), batch.column("_text"), pa.array(rows, pa.int64()),
                     pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
-                    pa.array(signed, pa.list_(pa.int64())),
+                    pa.array(heads, pa.bool_()),
                 ],
-                names=["_carried", "_text", "_row", "n_shingles", "_node", "_signatures"],
+                names=["_carried", "_text", "_row", "n_shingles", "_node", "_head"],
             )
 
     return run
@@ -142,7 +165,7 @@ def _differences(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hubs: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             sizes, out = [], []
             families = batch.column("_family").to_pylist()
             texts = batch.column("_text").cast(pa.binary())
@@ -173,16 +196,18 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _links(signed: DataFrame, classes: DataFrame, size: int, num: int, den: int) -> DataFrame:
+def _links(named: DataFrame, classes: DataFrame, size: int, num: int, den: int, sub: int) -> DataFrame:
     """Edges (a, b) between class rows that connect what similarity connects."""
-    heads = signed.where(F.col("_signatures").isNotNull()).select("_row", "_node")
+    heads = named.where("_head").select("_row", "_node")
     twins = written(  # heads of one class in several tasks
         heads.join(classes.select("_node", "_class"), "_node").where("_row <> _class").select("_row", "_class"),
         "twins",
     )
     same = Window.partitionBy("_signature")
     shared = (
-        signed.where(F.col("_signatures").isNotNull())
+        # signatures are many times the rows: they go straight into the shuffle, never to a table
+        named.where("_head").select("_row", "_text")
+        .mapInArrow(_signed(size, num, den, sub), "_row long, _signatures array<long>")
         .select("_row", F.explode("_signatures").alias("_signature"))
         .withColumns({"_least": F.min("_row").over(same), "_sets": F.count(F.lit(1)).over(same)})
         .where("_sets > 1")
@@ -199,20 +224,24 @@ def _links(signed: DataFrame, classes: DataFrame, size: int, num: int, den: int)
         .join(weight, "_row", "left").withColumn("_weight", F.coalesce("_weight", F.lit(0))),
         "members",
     )
+    # large families are dealt over several salts, and only they have copies of their hub's text
     hubs = members.groupBy("_family").agg(
-        F.max_by("_row", F.struct("_weight", -F.col("_row"))).alias("_hub")
+        F.max_by("_row", F.struct("_weight", -F.col("_row"))).alias("_hub"),
+        F.least(F.lit(SALTS), F.ceil(F.count(F.lit(1)) / ROWS_PER_SALT)).cast("int").alias("_salts"),
     )
-    texts = written(
-        signed.select("_row", "_text").join(_few(members.select("_row", "_family")), "_row"), "member-texts"
+    placed = members.select("_row", "_family").join(hubs, "_family").select(
+        "_row", "_family", F.pmod(F.xxhash64("_row"), F.col("_salts")).cast("int").alias("_salt")
     )
+    texts = named.select("_row", "_text")
     hub_texts = (
-        texts.join(hubs.select(F.col("_hub").alias("_row")), "_row", "left_semi")
-        .select("_family", F.col("_text").alias("_hub_text"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        texts.join(_few(hubs.select(F.col("_hub").alias("_row"), "_family", "_salts")), "_row")
+        .select(
+            "_family", F.col("_text").alias("_hub_text"),
+            F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"),
+        )
     )
-    salt = F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int")
     deltas = written(
-        texts.withColumn("_salt", salt).join(hub_texts, ["_family", "_salt"])
+        texts.join(_few(written(placed, "placed-members")), "_row").join(hub_texts, ["_family", "_salt"])
         .select("_row", "_family", "_text", "_hub_text")
         .mapInArrow(_differences(size), "_row long, _family long, _n long, _delta array<long>"),
         "differences",
@@ -259,11 +288,13 @@ def ngram_jaccard_join(
     carry: tuple[str, ...] = (),
     size: int = 5,
     threshold: tuple[int, int] = (8, 10),
+    sub_parts: int = 3,
 ) -> DataFrame:
     """One row per input row: the columns ``carry``, then doc_id, n_shingles, component_id, kept.
 
     Documents link when intersection / union of their sets of ``size``-word shingles is at
-    least ``threshold`` (a fraction); component_id is the smallest doc_id reachable.
+    least ``threshold`` (a fraction); component_id is the smallest doc_id reachable.  Fewer
+    ``sub_parts`` make fewer, less telling signatures; results are the same.
     """
     num, den = threshold
     more = [F.col(c) for c in carry if c != text]
@@ -273,19 +304,19 @@ def ngram_jaccard_join(
     )
     schema = T.StructType([
         *source.schema.fields, T.StructField("_row", T.LongType()), T.StructField("n_shingles", T.LongType()),
-        T.StructField("_node", T.BinaryType()), T.StructField("_signatures", T.ArrayType(T.LongType())),
+        T.StructField("_node", T.BinaryType()), T.StructField("_head", T.BooleanType()),
     ])
-    signed = written(source.mapInArrow(_sign(size, num, den), schema), "signatures")
+    named = written(source.mapInArrow(_named(size), schema), "named-sets")
     classes = written(
-        signed.where(F.col("_node").isNotNull()).groupBy("_node").agg(
+        named.where(F.col("_node").isNotNull()).groupBy("_node").agg(
             # a class is named by the first row that is a head in its task
-            F.min(F.when(F.col("_signatures").isNotNull(), F.col("_row"))).alias("_class"),
+            F.min(F.when(F.col("_head"), F.col("_row"))).alias("_class"),
             F.min("_carried._id").alias("_least_id"),
             F.min(F.struct(F.col("_carried._id").alias("id"), F.col("_row").alias("row"))).alias("_first"),
         ),
         "classes",
     )
-    linked = connected_components(_links(signed, classes, size, num, den))
+    linked = connected_components(_links(named, classes, size, num, den, sub_parts))
     joined = classes.join(linked.withColumnRenamed("node", "_class"), "_class", "left").withColumn(
         "component", F.coalesce("component", "_class")
     )
@@ -293,7 +324,7 @@ def ngram_jaccard_join(
         F.min("_least_id").alias("component_id"), F.min("_first").alias("_first")
     )
     answer = joined.select("_node", "component").join(groups, "component").drop("component")
-    rows = signed.select("_carried", *(["_text"] if text in carry else []), "_row", "n_shingles", "_node")
+    rows = named.select("_carried", *(["_text"] if text in carry else []), "_row", "n_shingles", "_node")
     return rows.join(answer, "_node", "left").select(
         *[(F.col("_text") if n == text else F.col("_carried._more")[n]).alias(n) for n in carry],
         F.col("_carried._id").alias(free_of(carry, "doc_id")),
