@@ -243,6 +243,13 @@ FROM bills FULL JOIN cash USING (month)""")
 add("m_recon_rate_total", f"""WITH {RECON}
 SELECT {pct("count(*) FILTER (status = 'MATCHED')", 'count(*)')} AS m_recon_rate
 FROM recon_payments""")
+for name, column in (("m_billed", "billed_fee"), ("m_expected", "expected_fee")):
+    add(name, f"""SELECT merchant_segment, sum(coalesce({column}, 0))::DOUBLE AS {name}
+FROM invoices LEFT JOIN merchants USING (merchant_id) GROUP BY 1""")
+add("m_collected", """SELECT merchant_segment, sum(coalesce(payment_amount, 0))::DOUBLE AS m_collected
+FROM payments LEFT JOIN merchants USING (merchant_id) WHERE payment_status = 'Success' GROUP BY 1""")
+add("m_total_ar", f"""WITH {AGING}
+SELECT merchant_segment, sum(open_amount)::DOUBLE AS m_total_ar FROM aging GROUP BY 1""")
 add("m_growth_mom", f"""WITH m AS (SELECT date_trunc('month', invoice_date)::DATE AS d,
  sum(billed_fee) AS b FROM invoices GROUP BY 1),
 p AS (SELECT m.d, m.b, o.b AS before FROM m LEFT JOIN m o ON o.d = (m.d - INTERVAL 1 MONTH)::DATE)

@@ -37,6 +37,13 @@ def _parts(tables: Tables, name: str, as_of: dt.date) -> tuple[list[Part], str]:
     """Additive parts of a measure and how to combine them."""
     nothing = money(F.lit(0))
     invoices, payments = tables["invoices"], tables["payments"]
+    if name in ("m_billed", "m_expected"):
+        fee = c("billed_fee" if name == "m_billed" else "expected_fee")
+        return [(invoices, "invoice_date", fee, nothing)], "sum"
+    if name == "m_collected":
+        return [(successful(payments), "payment_date", c("payment_amount"), nothing)], "sum"
+    if name == "m_total_ar":
+        return [(ar_aging(tables, as_of), "invoice_date", c("outstanding_amount"), nothing)], "sum"
     if name == "m_realization":
         return [
             (successful(payments), "payment_date", c("payment_amount"), nothing),
@@ -74,14 +81,22 @@ def _parts(tables: Tables, name: str, as_of: dt.date) -> tuple[list[Part], str]:
     raise ValueError(f"unknown measure: {name}")
 
 
+TRAILING = ("m_dso_t90", "m_collection_rate")
 MEASURES = (
+    "m_billed", "m_expected", "m_collected", "m_total_ar",
     "m_realization", "m_billing_accuracy", "m_ar90_share", "m_dso_t90", "m_collection_rate",
     "m_leakage_total", "m_leakage_outstanding", "m_recon_rate",
 )
 
 
 def measure(tables: Tables, name: str, by: Sequence[str], as_of: dt.date) -> DataFrame:
-    """``by`` lists merchant attributes and/or ``year_month``; empty means one total row."""
+    """``by`` lists merchant attributes and/or ``year_month``; empty means one total row.
+
+    Trailing measures look back from ``as_of`` and have no value of earlier months; ask for
+    them once per period end instead.
+    """
+    if name in TRAILING and "year_month" in by:
+        raise ValueError(f"{name} looks back from its as-of date; it cannot be cut by year_month")
     parts, kind = _parts(tables, name, as_of)
     rows = None
     for fact, date, numerator, denominator in parts:
