@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tallywright.session import work_folder
 
+ARROW_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_ROWS = "500"
 #: White space that ends a word: the space and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -21,10 +23,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared work folder: lineage ends, rows are fixed."""
+    """``df`` as a Parquet table in the shared work folder: lineage ends, rows are fixed.
+
+    Rows go to Python in batches of ``ARROW_ROWS`` meanwhile, as whole texts are large.
+    """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    usual = spark.conf.get(ARROW_BATCH)
+    spark.conf.set(ARROW_BATCH, ARROW_ROWS)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_BATCH, usual)
     for made in _watching:
         made.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -172,7 +172,7 @@ def _differences(size: int):
             hub_texts = batch.column("_hub_text").cast(pa.binary())
             for at, family in enumerate(families):
                 if family not in hubs:
-                    if len(hubs) > 200:
+                    if len(hubs) > 50:
                         hubs.clear()
                     hubs[family] = shingle_set(hub_texts[at].as_py(), size)
                 hub, own = hubs[family], shingle_set(texts[at].as_py(), size)
