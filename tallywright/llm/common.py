@@ -86,3 +86,4 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
     for batch in batches:
         for low in range(0, batch.num_rows, rows):
             yield batch.slice(low, rows)
+    pa.default_memory_pool().release_unused()  # the worker may idle beside other stages' tasks

@@ -42,7 +42,7 @@ SALTS = 64
 ROWS_PER_SALT = 500
 BROADCAST_ROWS = 1_000_000
 #: Word hashes and set fingerprints that a task remembers; it forgets them all beyond.
-CACHED = 250_000
+CACHED = 100_000
 
 
 class WordHashes(dict):
@@ -124,6 +124,7 @@ def _signed(size: int, num: int, den: int, sub: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row"), pa.array(found, pa.list_(pa.int64()))], names=["_row", "_signatures"]
             )
+        _words.clear()
 
     return run
 
@@ -156,6 +157,7 @@ def _named(size: int):
                 ],
                 names=["_carried", "_text", "_row", "n_shingles", "_node", "_head"],
             )
+        _words.clear()
 
     return run
 
@@ -187,6 +189,7 @@ def _differences(size: int):
                 ],
                 names=["_row", "_family", "_n", "_delta"],
             )
+        _words.clear()
 
     return run
 
