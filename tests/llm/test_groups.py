@@ -243,6 +243,23 @@ def test_cosines_match_plain_arithmetic(spark):
         assert row._score == pytest.approx(best, abs=1e-5)
 
 
+def test_whole_licence_texts_and_unknown_licence_files(spark):
+    rows, want = [], {}
+    for name in ("GPL-3.0", "GPL-2.0", "LGPL-2.1", "LGPL-3.0", "Apache-2.0", "MIT", "MPL-2.0", "CC0-1.0"):
+        text = licenses.WHOLE[name].replace("<owner>", "Jane Okafor").replace("<year>", "2021")
+        for path, body in (
+            (f"{name}/LICENSE", "Riverbank tools, by Jane Okafor\n\n" + text.replace("\n\n", "\n")),
+            (f"{name}/half/COPYING", text[: len(text) // 2]), (f"{name}-source/x.py", f"{text}\ncode = 1"),
+        ):
+            rows.append((path, body))
+            want[path] = name
+    own = "Nobody but the members of our rowing club can use these files, on weekdays, and only in good weather."
+    rows += [("MIT/shut/LICENSE", own), ("MIT/shut/in/x.py", "code"), ("MIT/open/x.py", "code")]
+    want |= {"MIT/shut/LICENSE": "unknown", "MIT/shut/in/x.py": "unknown", "MIT/open/x.py": "MIT"}
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "path string, text string")).collect()
+    assert {r.path: r.license for r in got} == want
+
+
 # conversations
 
 
