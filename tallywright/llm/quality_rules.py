@@ -8,8 +8,10 @@ language and task.
 
 Defined results: a null text counts as empty; a document without words has zero
 counts, NULL distances and fails the base rules.  A null language, or one without
-words, is compared with the reference of all documents.  A document below
-``guard`` words is judged by the base rules alone.  Equal rows get equal results,
+words, is compared with the reference of all documents.  Each histogram judges only where it has
+mass: the classes from ``guard`` words and ``class_guard`` characters on, the common words from
+``word_guard`` words on if ``common_guard`` of them are common ones, or if so few of so many
+are (under a twentieth) that their lack tells.  Equal rows get equal results,
 row by row; other columns pass through untouched.
 """
 
@@ -199,14 +201,17 @@ def quality_rules(
     lang: str = "lang",
     keep: tuple[str, ...] = ("doc_id",),
     guard: int = 50,
+    class_guard: int = 100,
+    word_guard: int = 100,
+    common_guard: int = 20,
     max_class_distance: float = 0.35,
     max_word_distance: float = 0.75,
 ) -> DataFrame:
     """Counts, distances and verdict of each row, with the columns ``keep``.
 
-    ``kept`` is false where the base rules fail (``base_failed``) or, from ``guard``
-    words on, where the characters lie further than ``max_class_distance`` or the
-    common words further than ``max_word_distance`` from the language reference.
+    ``kept`` is false where the base rules fail (``base_failed``) or where the characters lie
+    further than ``max_class_distance`` or the common words further than ``max_word_distance``
+    from the language reference, each with the mass that its guards ask for.
     """
     names = list(dict.fromkeys((*keep, lang, text)))
     base = docs.select(*[F.col(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in names])
@@ -222,10 +227,11 @@ def quality_rules(
     placed = measured.join(known, "_lang", "left").withColumn(
         "ref", F.when(F.col("_known"), F.col("_lang")).otherwise(EVERY)
     )
-    return _judged(placed.join(refs, "ref", "left"), wanted, guard, max_class_distance, max_word_distance)
+    return _judged(placed.join(refs, "ref", "left"), wanted, (guard, class_guard, word_guard, common_guard), max_class_distance, max_word_distance)
 
 
-def _judged(df: DataFrame, keep: list[str], guard: int, max_class: float, max_word: float) -> DataFrame:
+def _judged(df: DataFrame, keep: list[str], guards: tuple[int, ...], max_class: float, max_word: float) -> DataFrame:
+    guard, class_guard, word_guard, common_guard = guards
     share = lambda ref, bar: F.coalesce(F.element_at(F.col(ref), bar), F.lit(0.0))
     classes = F.transform(
         F.col("_q.classes"),
@@ -254,9 +260,11 @@ def _judged(df: DataFrame, keep: list[str], guard: int, max_class: float, max_wo
     # a document of many words and no common one is as far as can be
     bars = bars.withColumn("_word_js", F.coalesce("_word_js", F.when(n_words > 0, F.lit(1.0))))
     failed = (n_words < 50) | (100 * F.col("_q.n_repeat_words") > 50 * n_words)
+    n_common = F.col("_n_common")
+    telling = (n_words >= word_guard) & ((n_common >= common_guard) | (20 * n_common < n_words))
     far = (n_words >= guard) & (
-        F.coalesce(F.col("_class_js") > max_class, F.lit(False))
-        | F.coalesce(F.col("_word_js") > max_word, F.lit(False))
+        ((F.col("_n_classes") >= class_guard) & F.coalesce(F.col("_class_js") > max_class, F.lit(False)))
+        | (telling & F.coalesce(F.col("_word_js") > max_word, F.lit(False)))
     )
     return bars.select(
         *[F.col("_row")[c].alias(c) for c in keep],

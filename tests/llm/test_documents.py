@@ -106,6 +106,21 @@ def test_rules_keep_labelled_good_documents_and_reject_symbols(spark):
     assert judged[judged.quality == 0].kept.mean() < 0.3
 
 
+def test_rules_lose_no_good_document_to_a_thin_histogram(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1 and toxic = 0").select("doc_id")
+    judged = quality_rules(docs).join(labels, "doc_id").where("not base_failed")
+    assert judged.count() > 2000 and judged.where("not kept").count() == 0
+    title = " ".join(f"Word{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}" for i in range(60)).lower()
+    many = " ".join([title] + [f"other{chr(97 + i // 26)}x{chr(97 + i % 26)}" for i in range(400)])
+    rows = docs.select("doc_id", "text", "lang").unionByName(
+        spark.createDataFrame([(-1, title, "en"), (-2, many, "en")], "doc_id long, text string, lang string")
+    )
+    got = {r.doc_id: r.kept for r in quality_rules(rows).where("doc_id < 0").collect()}
+    assert got == {-1: True, -2: False}  # sixty words tell nothing, so many without a common one do
+
+
 def test_line_dedup_by_hand(spark):
     rows = [(i, f"common\nown {i}\n\n common \nrare {i % 2}", "en", "h") for i in range(10)]
     rows += [(20, "common\nx", "en", None), (21, None, "en", "h"), (22, "", "en", "h")]
