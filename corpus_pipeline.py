@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -52,29 +51,12 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, tokenizer=public_tokenizers.path("word_bpe_49k.json"))
 
 
-_working: list[str] = []
-
-
-def _tidy(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """Drop the stage before's working tables: its result, which read them, is written by now."""
-
-    @functools.wraps(stage)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_tables(spark, _working)
-        with working_tables() as made:
-            result = stage(spark, docs, sf_dir)
-        _working[:] = made
-        return result
-
-    return run_stage
-
-
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", _tidy(quality)),
-    ("line_dedup", _tidy(lines)),
-    ("near_duplicates", _tidy(near_duplicates)),
-    ("mixing", _tidy(mixture)),
-    ("packing", _tidy(packed)),
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("near_duplicates", near_duplicates),
+    ("mixing", mixture),
+    ("packing", packed),
 ]
 
 #: The divergence, the trained classifier and the tokenizer are beyond SQL; tests hold each
@@ -83,8 +65,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written before the next one reads it."""
+    """All stages over ``documents``, each written before the next one reads it.
+
+    A stage's working tables go once its own result is written, and no others: the last
+    stage's are read by the frame returned.
+    """
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with working_tables() as made:
+            result = stage(spark, docs, sf_dir)
+        docs = written(result, f"pipeline-{name}")
+        drop_tables(spark, made)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -321,3 +321,12 @@ def test_pipeline_of_nothing(spark):
         out = stage(spark, frame, FOLDER)
         frame = spark.createDataFrame(out.collect(), out.schema)
     assert pipeline.STAGES[-1][1](spark, frame, FOLDER).count() == 0
+
+
+def test_stage_results_outlive_later_stages(spark):
+    pipeline = importlib.import_module("corpus_pipeline")
+    stages = dict(pipeline.STAGES)
+    frame = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40)
+    held = stages["quality_rules"](spark, frame, FOLDER)
+    stages["line_dedup"](spark, frame, FOLDER)
+    assert held.count() <= 40 and len(held.collect()) == held.count()
