@@ -6,7 +6,9 @@ import contextlib
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,3 +89,23 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
         for low in range(0, batch.num_rows, rows):
             yield batch.slice(low, rows)
     pa.default_memory_pool().release_unused()  # the worker may idle beside other stages' tasks
+
+
+def lots(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in parts whose texts hold about ``most_bytes``, one row at least."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64))
+        low = 0
+        while low < batch.num_rows:
+            before = int(ends[low - 1]) if low else 0
+            high = max(int(np.searchsorted(ends, before + most_bytes, "right")), low + 1)
+            yield batch.slice(low, high - low)
+            low = high
+    pa.default_memory_pool().release_unused()
+
+
+def unclashed(taken: tuple[str, ...], name: str) -> str:
+    """``name``, with underscores before it until it is none of ``taken``."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = "_" + name
+    return name

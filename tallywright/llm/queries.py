@@ -8,14 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywright.llm.chat import preference_pairs, swapped_answers
-from tallywright.llm.common import read_table
+from tallywright.llm.circulant_minhash import circulant_minhash
+from tallywright.llm.common import read_table, words_of
 from tallywright.llm.exact_dedup import exact_dedup
+from tallywright.llm.fill_in_middle import fill_in_middle, restored
 from tallywright.llm.language_id import identify_language
 from tallywright.llm.licenses import document_paths, scan_licenses
 from tallywright.llm.line_dedup import line_dedup
 from tallywright.llm.mixing import domain_of, mix
 from tallywright.llm.ngram_join import ngram_jaccard_join
 from tallywright.llm.packing import pack
+from tallywright.llm.periodic_runs import periodic_runs
 from tallywright.llm.quality_rules import quality_rules
 from tallywright.llm.rule_ensemble import classify_quality
 
@@ -80,6 +83,53 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash(read_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(read_table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form",
+        F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """Every tenth document (by hash of its id) with a part of its words repeated."""
+    words = words_of(F.col("text"))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    n, g = F.size("_words"), F.floor(F.col("_h") / 10)
+    a = (F.col("_g") % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.col("_g") % 8))).cast("int")
+    places = F.sequence(F.lit(0), n - 1)
+    repeated = F.transform(places, lambda i: F.get("_words", F.when(i < a, i).otherwise(a + (i - a) % p)))
+    return (
+        docs.withColumns({"_words": words, "_h": h}).withColumn("_g", g)
+        .withColumn("text", F.when((F.col("_h") % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(F.col("text")))
+        .drop("_words", "_h", "_g")
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_repeats(read_table(spark, sf_dir, "documents")))
+    # the greatest length / period, compared exactly; the first of equal ones stays
+    best = F.aggregate(
+        F.col("runs"), F.get("runs", F.lit(0)),
+        lambda top, r: F.when(r["length"] * top["period"] > top["length"] * r["period"], r).otherwise(top),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("_best", best).select(
+        "doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"),
+        *[F.col("_best")[part].alias(part) for part in ("start", "length", "period")],
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_preference_format": op2_preference_format,
@@ -91,6 +141,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_minhash_near_dedup": op11_minhash_near_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 OP8_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -159,8 +212,32 @@ LEFT JOIN done x ON x.pair_id = p.pair_id AND x.side = 'chosen'
 LEFT JOIN done y ON y.pair_id = p.pair_id AND y.side = 'rejected'
 """
 
+OP12_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hex FROM documents),
+h AS (
+  SELECT *, ('0x' || hex[1:8])::BIGINT AS h1, ('0x' || hex[9:16])::BIGINT AS h2,
+         ('0x' || hex[17:24])::BIGINT AS h3, ('0x' || hex[25:32])::BIGINT AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+o AS (
+  SELECT *, CASE form
+    WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || text[1:a] || '<S>' || text[b + 1:] || '<M>' || text[a + 1:b]
+    ELSE '<S>' || text[b + 1:] || '<P>' || text[1:a] || '<M>' || text[a + 1:b] END AS output FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(output) AS output_sha256, sha256(text) AS restored_sha256
+FROM o
+"""
+
 ORACLES: dict[str, str] = {
     "op2_preference_format": OP2_SQL,
     "op5_line_dedup": OP5_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
