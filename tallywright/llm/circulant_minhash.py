@@ -14,11 +14,10 @@ Sets that share a bucket are compared on their full sets, without listing a buck
    the hub differ by no more than a link is long.  A linked member that is nearer to the hub
    than the nearest unlinked one by more than that leaves its bucket, the hub leaves too,
    and a bucket whose sets are in one component is done.
-3. Buckets that are left get a hub of their smallest component, and so on while a round
-   halves the pairs of different components in them.
-4. If those are no more than the bucket entries there were, they are compared as they are.
-   Else the sets compared with one hub meet in the elements by which they differ from it:
-   linked ones share some of the rarest.  All ways give the same links.
+3. Buckets that are left get a hub of their smallest component, and so on while they have
+   more pairs of different components than there were entries, and a round halves these.
+4. The sets compared with one hub that are left meet in the elements by which they differ
+   from it: linked ones share one of the rarest, and pairs that do are compared.
 
 Equal sets are one set before this: within a task while reading, across tasks by a 128-bit
 fingerprint.  Shingles are compared by 64-bit hashes.
@@ -202,10 +201,11 @@ def _against_hubs(size: int, name: str, kind: pa.DataType, result):
             own = shingle_sets(batch.column("_text").cast(pa.binary()).to_pylist(), size, known)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("_hub"), batch.column("_row"), pa.array([len(s) for s in own], pa.int64()),
+                    batch.column("_hub"), batch.column("_row"), batch.column("_component"),
+                    pa.array([len(s) for s in own], pa.int64()),
                     pa.array([result(hubs[hub], s) for hub, s in zip(names, own)], kind),
                 ],
-                names=["_hub", "_row", "_n", name],
+                names=["_hub", "_row", "_component", "_n", name],
             )
 
     return run
@@ -224,74 +224,67 @@ SIZES = pa.struct([("shared", pa.int64()), ("whole", pa.int64())])
 
 
 def _with_hubs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Distinct (_hub, _row) with both texts; a hub's text is dealt over several copies by
-    the number of its members."""
+    """Distinct (_hub, _row, _component) with both texts; a hub's text is dealt over several
+    copies by the number of its members."""
     copies = pairs.groupBy("_hub").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_COPY).alias("_copies"))
     hub_texts = texts.withColumnsRenamed({"_row": "_hub", "_text": "_hub_text"}).join(copies, "_hub").select(
         "_hub", "_hub_text", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")
     )
     members = pairs.join(copies, "_hub").select(
-        "_hub", "_row", F.pmod(F.xxhash64("_row"), "_copies").alias("_copy")
+        "_hub", "_row", "_component", F.pmod(F.xxhash64("_row"), "_copies").alias("_copy")
     )
     both = members.join(texts, "_row").join(hub_texts, ["_hub", "_copy"])
-    return both.select("_hub", "_row", "_text", "_hub_text")
+    return both.select("_hub", "_row", "_component", "_text", "_hub_text")
 
 
 def _compare(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """Distinct (_hub, _row) with the sizes of intersection and union, as a table."""
     return written(
-        _with_hubs(pairs, texts).mapInArrow(
+        _with_hubs(pairs.withColumn("_component", F.lit(None).cast("long")), texts).mapInArrow(
             _against_hubs(size, "_sizes", SIZES, _sizes),
-            "_hub long, _row long, _n long, _sizes struct<shared: long, whole: long>",
+            "_hub long, _row long, _component long, _n long, _sizes struct<shared: long, whole: long>",
         ).select("_hub", "_row", F.col("_sizes.shared").alias("_shared"), F.col("_sizes.whole").alias("_whole")),
         "compared",
     )
 
 
-def _pairs_of_buckets(left: DataFrame, reach: float) -> DataFrame:
-    """Pairs of different components that share a bucket, within reach of one another."""
-    x, y, c = left.alias("x"), left.alias("y"), F.col
-    return x.join(
-        y,
-        (c("x._bucket") == c("y._bucket")) & (c("x._row") < c("y._row"))
-        & (c("x._component") != c("y._component")) & (F.abs(c("x._far") - c("y._far")) <= reach),
-    ).select(c("x._row").alias("_hub"), c("y._row").alias("_row")).distinct()
-
-
 def _pairs_by_differences(left: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Pairs of different components that can be linked, among the sets compared with one hub.
 
     With D(x) the symmetric difference of x and the hub, x and y differ in as many elements as
-    D(x) and D(y).  For |D(x)| <= |D(y)|, linked sets leave at most (den - num) |x| / 2 num
-    elements of D(x) out of D(y), and (den - num) |y| / num of D(y) out of D(x).  So among one
-    more than these of either, the rarest of the hub's group first, some element is in
-    both; sets whose D have nothing in common are both linked to the hub.
+    D(x) and D(y); linked ones in m = (den - num) (|x| + |y|) / (den + num) at most.  So they
+    share t = (|D(x)| + |D(y)| - m) / 2 elements of D, and with these in one order, the rarest
+    of the hub's group first, the first of them is among the first |D(x)| - t + 1 of
+    D(x) and |D(y)| - t + 1 of D(y).  Where D(x) and D(y) have nothing in common, both sets
+    are linked to the hub.
     """
-    own = left.select("_hub", "_row", "_component").distinct()
     apart = written(
-        _with_hubs(own.select("_hub", "_row"), texts).mapInArrow(
+        _with_hubs(left.select("_hub", "_row", "_component").distinct(), texts).mapInArrow(
             _against_hubs(size, "_d", pa.list_(pa.int64()), _difference),
-            "_hub long, _row long, _n long, _d array<long>",
+            "_hub long, _row long, _component long, _n long, _d array<long>",
         ),
         "differences",
     )
-    elements = apart.select("_hub", "_row", "_n", F.size("_d").alias("_size"), F.explode("_d").alias("_element"))
+    elements = apart.select(
+        "_hub", "_row", "_component", "_n", F.size("_d").alias("_size"), F.explode("_d").alias("_element")
+    )
     often = elements.groupBy("_hub", "_element").agg(F.count(F.lit(1)).alias("_times"))
     rarest = Window.partitionBy("_hub", "_row").orderBy("_times", "_element")
+    # no partner has more than den |x| / num elements: the longest prefix that any pair asks for
     most = F.floor((den - num) * F.col("_n") / num) + 1
     firsts = written(
         elements.join(often, ["_hub", "_element"]).withColumn("_at", F.row_number().over(rarest))
-        .where((F.col("_at") <= most) & (F.col("_times") > 1)).join(own, ["_hub", "_row"]),
+        .where((F.col("_at") <= most) & (F.col("_times") > 1)),
         "rarest-differences",
     )
-    x = firsts.where(F.col("_at") <= F.floor((den - num) * F.col("_n") / (2 * num)) + 1).alias("x")
-    y, c = firsts.alias("y"), F.col
+    x, y, c = firsts.alias("x"), firsts.alias("y"), F.col
+    most_apart = F.floor((den - num) * (c("x._n") + c("y._n")) / (den + num))
+    outside = lambda a, b: (c(f"{a}._size") - c(f"{b}._size") + most_apart) / 2
     return x.join(
         y,
         (c("x._hub") == c("y._hub")) & (c("x._element") == c("y._element"))
-        & (c("x._component") != c("y._component"))
-        & (F.struct("x._size", "x._row") < F.struct("y._size", "y._row"))
-        & (den * c("x._n") >= num * c("y._n")) & (den * c("y._n") >= num * c("x._n")),
+        & (c("x._row") < c("y._row")) & (c("x._component") != c("y._component"))
+        & (c("x._at") <= outside("x", "y") + 1) & (c("y._at") <= outside("y", "x") + 1),
     ).select(c("x._row").alias("_hub"), c("y._row").alias("_row")).distinct()
 
 
@@ -333,11 +326,8 @@ def _links(entries: DataFrame, texts: DataFrame, size: int, num: int, den: int)
         if pairs <= allowed or (last is not None and 2 * pairs > last):
             break
         entries, hubs, last = left.select("_bucket", "_row"), hubs.select("_bucket", "_hub"), pairs
-    rest = (
-        _pairs_of_buckets(left, reach) if pairs <= allowed
-        else _pairs_by_differences(left, texts, size, num, den)
-    )
-    seen = _compare(written(rest, "rest"), texts, size)
+    rest = written(_pairs_by_differences(left, texts, size, num, den), "rest")
+    seen = _compare(rest, texts, size)
     return connected_components(edges.unionByName(seen.where(near).select(*ends)))
 
 
