@@ -209,9 +209,14 @@ add_raw("table_profile", union(
     f"FROM {SOURCE[t]}" for t in TABLES
 ))
 add("load_model", union(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count, "
-    f"{ {**{k: len(v) for k, v in HAS.items()}, 'invoices': 13, 'transactions': 9}[t] }::BIGINT "
-    f"AS column_count FROM {t}" for t in TABLES
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, sum({TABLES[t].key})::BIGINT AS key_total, "
+    f"sum({measure})::DOUBLE AS measure_total FROM {t}"
+    + (" WHERE invoice_id IS NULL OR invoice_id IN (SELECT invoice_id FROM invoices)" if t == "payments" else "")
+    for t, measure in (
+        ("merchants", "payment_terms_days"), ("contracts", "transaction_fee_percent"),
+        ("transactions", "transaction_amount"), ("invoices", "total_invoice_amount"),
+        ("payments", "payment_amount"), ("refunds", "refund_amount"), ("credit_notes", "credit_amount"),
+        ("collection_activity", "promised_amount"), ("disputes", "disputed_amount"))
 ))
 add("category_mix", union(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, {c}::VARCHAR AS value, "

@@ -182,13 +182,15 @@ add("fact_collection_activity", """SELECT collection_id, merchant_id, invoice_id
  promised_amount::DOUBLE AS promised_amount FROM collection_activity""")
 add("export_star", f"""WITH {CALENDAR}, {LEAKAGE},
 {AGING.replace('paid AS (', 'paid_sum AS (').replace('LEFT JOIN paid p', 'LEFT JOIN paid_sum p')}
-SELECT 'dim_merchant' AS table_name, count(*) AS row_count FROM merchants
-UNION ALL SELECT 'dim_date', last_day - first_day + 1 FROM calendar
-UNION ALL SELECT 'fact_invoices', count(*) FROM invoices
-UNION ALL SELECT 'fact_payments', count(*) FROM payments
-UNION ALL SELECT 'fact_collection_activity', count(*) FROM collection_activity
-UNION ALL SELECT 'fact_leakage', count(*) FROM events
-UNION ALL SELECT 'fact_ar_aging', count(*) FROM aging""")
+SELECT 'dim_merchant' AS table_name, NULL::VARCHAR AS year_month, count(*) AS row_count, NULL::DOUBLE AS total
+ FROM merchants
+UNION ALL SELECT 'dim_date', NULL, last_day - first_day + 1, NULL FROM calendar
+UNION ALL SELECT 'fact_invoices', {ym('invoice_date')}, count(*), sum(total_invoice_amount)::DOUBLE FROM invoices GROUP BY 2
+UNION ALL SELECT 'fact_payments', {ym('payment_date')}, count(*), sum(payment_amount)::DOUBLE FROM payments GROUP BY 2
+UNION ALL SELECT 'fact_collection_activity', {ym('activity_date')}, count(*), sum(promised_amount)::DOUBLE
+ FROM collection_activity GROUP BY 2
+UNION ALL SELECT 'fact_leakage', '2001-08', count(*), sum(amount)::DOUBLE FROM events HAVING count(*) > 0
+UNION ALL SELECT 'fact_ar_aging', {ym('invoice_date')}, count(*), sum(open_amount)::DOUBLE FROM aging GROUP BY 2""")
 
 # ---------------------------------------------------------------- measures
 

@@ -1,8 +1,9 @@
 """Data-quality checks, cross-table checks and model constraints.
 
-Every check reduces to counts.  Row-wise checks of a table share one aggregate
-scan; key checks add one grouped count; all references to one parent share an
-anti-join on distinct child keys with their row counts.
+Every check reduces to counts.  Row-wise checks of a table share one aggregate scan.
+Repeated ids, repeated business rows and references of all tables share one pass over
+keys: a table is read once for all of its keys, and one aggregate by (domain, key) counts
+how often each key is an id and how often each reference names it.
 """
 
 from __future__ import annotations
@@ -147,6 +148,78 @@ def excess_key_rows(df: DataFrame, table: str, check: str, key: str) -> DataFram
     return _counts(sizes, table, [(check, key, F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))])
 
 
+class KeyPass:
+    """One aggregate over all keys that checks ask for.
+
+    A domain is a set of keys that are compared: the ids of a parent with all that refers to
+    them, or the business rows of a table.  Every row of a table gives one (domain, slot, key) for
+    each of its keys, slot 0 for ids; equal keys of a hot merchant collapse before the
+    shuffle.  Keys are compared as text.
+    """
+
+    def __init__(self, tables: Tables):
+        self._tables = tables
+        self._domains: dict[tuple[str, str], int] = {}
+        self._slots: dict[int, int] = {}
+        self._cells: dict[str, list[Column]] = {}
+        self._measures: list[tuple[str, str, str, Column]] = []
+
+    def _cell(self, table: str, domain: int, slot: int, key: Column, nulls: bool) -> None:
+        entry = F.struct(F.lit(domain).alias("_domain"), F.lit(slot).alias("_slot"), key.alias("_key"))
+        self._cells.setdefault(table, []).append(entry if nulls else F.when(key.isNotNull(), entry))
+
+    def _domain(self, table: str, label: str, key: Column) -> int:
+        if (table, label) not in self._domains:
+            domain = self._domains[table, label] = len(self._domains)
+            self._slots[domain] = 1
+            self._cell(table, domain, 0, key, nulls=True)
+        return self._domains[table, label]
+
+    def _ids(self, table: str, key: str) -> int:
+        return self._domain(table, key, F.col(key).cast("string"))
+
+    def _add(self, table: str, check: str, label: str, domain: int, counted: Column, rows: Column) -> None:
+        here = (F.col("_domain") == domain) & counted
+        self._measures.append((table, check, label, F.coalesce(F.sum(F.when(here, rows)), F.lit(0))))
+
+    def repeated_ids(self, table: str, check: str, key: str) -> None:
+        """Rows that share their id with another row; NULL equals NULL."""
+        self._add(table, check, key, self._ids(table, key), F.col("_n0") > 1, F.col("_n0"))
+
+    def excess_ids(self, table: str, check: str, key: str) -> None:
+        """Rows beyond the first of each id."""
+        self._add(table, check, key, self._ids(table, key), F.col("_n0") > 1, F.col("_n0") - 1)
+
+    def repeated_rows(self, table: str, check: str, keys: Iterable[str]) -> None:
+        """Rows that agree with another one in several columns."""
+        label = ", ".join(keys)
+        domain = self._domain(table, label, F.to_json(F.struct(*keys)))
+        self._add(table, check, label, domain, F.col("_n0") > 1, F.col("_n0"))
+
+    def unresolved(self, table: str, check: str, ref: Reference, nulls: bool = False) -> None:
+        """Rows whose reference names no id of the parent; NULLs count only if asked for."""
+        domain = self._ids(ref.parent, ref.parent_key)
+        slot = self._slots[domain]
+        self._slots[domain] += 1
+        self._cell(table, domain, slot, F.col(ref.column).cast("string"), nulls)
+        lost = (F.col("_n0") == 0) | F.col("_key").isNull()
+        self._add(table, check, f"{ref.column} -> {ref.parent}.{ref.parent_key}", domain, lost, F.col(f"_n{slot}"))
+
+    def counts(self) -> DataFrame:
+        """A row for each check that was added."""
+        if not self._measures:
+            return next(iter(self._tables.values())).sparkSession.createDataFrame([], FINDING)
+        keys = union_all(
+            self._tables[table].select(F.explode(F.array_compact(F.array(*cells))).alias("_cell")).select("_cell.*")
+            for table, cells in self._cells.items()
+        )
+        slots = range(max(self._slots.values()))
+        sizes = keys.groupBy("_domain", "_key").agg(
+            *[F.count_if(F.col("_slot") == slot).alias(f"_n{slot}") for slot in slots]
+        )
+        return _count_rows(sizes, self._measures)
+
+
 def unresolved_references(
     tables: Tables,
     references: Iterable[tuple[str, Reference]],
@@ -156,39 +229,13 @@ def unresolved_references(
 ) -> DataFrame:
     """Rows per (table, reference) whose key is absent from the parent.
 
-    All children of one parent are tagged and share a single anti-join.  Both
-    sides are reduced to distinct keys first, so a key that fills a third of a
-    table crosses it as one row.  NULL keys count only for the (table, column)
-    pairs in ``null_counts``.
+    NULL keys count only for the (table, column) pairs in ``null_counts``.
     """
-    by_parent: dict[tuple[str, str], list[tuple[str, Reference]]] = {}
+    keys = KeyPass(tables)
     for table, ref in references:
         if ref.column in tables[table].columns and ref.parent in tables:
-            by_parent.setdefault((ref.parent, ref.parent_key), []).append((table, ref))
-    frames = []
-    for (parent, parent_key), children in by_parent.items():
-        keys = union_all(
-            (
-                tables[table]
-                if (table, ref.column) in null_counts
-                else tables[table].where(F.col(ref.column).isNotNull())
-            ).select(F.lit(tag).alias("_tag"), F.col(ref.column).alias("_key"))
-            for tag, (table, ref) in enumerate(children)
-        )
-        sizes = keys.groupBy("_tag", "_key").agg(F.count(F.lit(1)).alias("n"))
-        key = F.col(parent_key).alias("_key")
-        parents = tables[parent].select(key).where(F.col("_key").isNotNull()).distinct()
-        missing = sizes.join(parents, "_key", "left_anti")
-        frames.append(_count_rows(missing, [
-            (
-                table, check, f"{ref.column} -> {parent}.{parent_key}",
-                F.coalesce(F.sum(F.when(F.col("_tag") == tag, F.col("n"))), F.lit(0)),
-            )
-            for tag, (table, ref) in enumerate(children)
-        ]))
-    if not frames:
-        return next(iter(tables.values())).sparkSession.createDataFrame([], FINDING)
-    return union_all(frames)
+            keys.unresolved(table, check, ref, nulls=(table, ref.column) in null_counts)
+    return keys.counts()
 
 
 # ---- the checks over all tables ----
@@ -265,10 +312,10 @@ def findings(
 ) -> DataFrame:
     """All checks of the named tables (default: all present ones).
 
-    One aggregate scan per table, one grouped count per key, one anti-join per parent.
+    Two scans a table: one aggregate of its rows, and its part of the pass over keys.
     """
     names = _present_tables(tables) if names is None else list(names)
-    frames = []
+    frames, keys = [], KeyPass(tables)
     for name in names:
         df, spec = tables[name], TABLES[name]
         frames.append(_counts(df, name, [
@@ -281,12 +328,13 @@ def findings(
             *out_of_range(df, spec.ranges),
             *invalid_domain(df, spec.domains),
         ]))
-        frames.append(repeated_key_rows(df, name, "duplicate_ids", [spec.key]))
+        keys.repeated_ids(name, "duplicate_ids", spec.key)
         if spec.business_key:
-            frames.append(
-                repeated_key_rows(df, name, "duplicate_business_rows", spec.business_key)
-            )
-    frames.append(unresolved_references(tables, _references(tables, names)))
+            keys.repeated_rows(name, "duplicate_business_rows", spec.business_key)
+        for ref in spec.references:
+            if ref.column in df.columns and ref.parent in tables:
+                keys.unresolved(name, "unresolved_reference", ref)
+    frames.append(keys.counts())
     always = F.col("check_name").isin("rows", "duplicate_ids", "duplicate_business_rows")
     return union_all(frames).where(always | (F.col("violations") > 0))
 
@@ -419,10 +467,13 @@ def x_amount_mismatches(tables: Tables, tolerance: int = 1) -> DataFrame:
 
 def constraint_violations(tables: Tables) -> DataFrame:
     """Breaches of primary keys, NOT NULL, checks and foreign keys; empty when sound."""
-    frames = []
+    frames, keys = [], KeyPass(tables)
     for name in _present_tables(tables):
         df, spec = tables[name], TABLES[name]
-        frames.append(excess_key_rows(df, name, "primary_key", spec.key))
+        keys.excess_ids(name, "primary_key", spec.key)
+        for ref in LOADED_REFERENCES[name]:
+            if ref.column in df.columns and ref.parent in tables:
+                keys.unresolved(name, "foreign_key", ref)
         rules = [
             ("not_null", c, count_where(F.col(c).isNull()))
             for c in (spec.key, *spec.not_null) if c in df.columns
@@ -437,8 +488,7 @@ def constraint_violations(tables: Tables) -> DataFrame:
         ]
         rules += [("domain", c, m) for _, c, m in invalid_domain(df, spec.checked_domains)]
         frames.append(_counts(df, name, rules))
-    loaded = [(n, r) for n in _present_tables(tables) for r in LOADED_REFERENCES[n]]
-    frames.append(unresolved_references(tables, loaded, check="foreign_key"))
+    frames.append(keys.counts())
     return union_all(frames).where(F.col("violations") > 0)
 
 

@@ -46,7 +46,9 @@ def validate_and_clean(
     """Quality findings and cross-table exceptions of the raw tables, then the cleaned tables."""
     orders = dict(orders or {})
     out = Publisher(folder, csv)
-    out.put("quality_findings", quality.findings(raw, None, earliest, latest))
+    found = quality.findings(raw, None, earliest, latest)
+    columns = getattr(raw, "column_findings", None)
+    out.put("quality_findings", found if columns is None else found.unionByName(columns))
     out.put("missing_invoices", quality.x_missing_invoices(raw))
     out.put("duplicate_payments", quality.x_duplicate_payments(raw))
     out.put("unmatched_payments", quality.x_unmatched_payments(raw))
