@@ -44,7 +44,6 @@ def validate_and_clean(
     csv: bool = False,
 ) -> dict[str, DataFrame]:
     """Quality findings and cross-table exceptions of the raw tables, then the cleaned tables."""
-    orders = dict(orders or {})
     out = Publisher(folder, csv)
     found = quality.findings(raw, None, earliest, latest)
     columns = getattr(raw, "column_findings", None)
@@ -55,10 +54,8 @@ def validate_and_clean(
     out.put("orphan_payments", quality.x_orphan_payments(raw))
     out.put("invoices_without_payment", quality.x_invoices_without_payment(raw))
     out.put("amount_mismatches", quality.x_amount_mismatches(raw))
-    out.put("cleaning_stats", cleaning.cleaning_stats(raw, orders))
-    cleaned: dict[str, DataFrame] = {}
-    for name, df in cleaning.clean_all(raw, orders).items():
-        cleaned[name] = out.put(f"cleaned/{name}", df)
+    cleaned, stats = cleaning.clean_and_count(raw, lambda name, df: out.put(f"cleaned/{name}", df), orders)
+    out.put("cleaning_stats", stats)
     return cleaned
 
 
