@@ -219,6 +219,13 @@ OVERALL = """r AS (SELECT * FROM
  (SELECT sum(payment_amount) AS cash FROM payments WHERE payment_status = 'Success'),
  (SELECT sum(credit_amount) AS credit FROM credit_notes WHERE status IN ('Issued', 'Applied')))"""
 add("realization_overall", f"WITH {OVERALL} SELECT 'total' AS total, {REALIZATION_COLUMNS} FROM r")
+add("realization_grains", " UNION ALL ".join((
+    "SELECT 'month' AS grain, billing_period, NULL::BIGINT AS merchant_id, * EXCLUDE (billing_period) FROM ("
+    + realization("billing_period", ym("transaction_date"), ym("billing_period_start")) + ")",
+    "SELECT 'merchant', NULL, merchant_id, * EXCLUDE (merchant_id) FROM ("
+    + realization("merchant_id", "merchant_id", "merchant_id") + ")",
+    f"SELECT 'overall', NULL, NULL, * FROM (WITH {OVERALL} SELECT {REALIZATION_COLUMNS} FROM r)",
+)))
 add("m_funnel", f"""WITH {OVERALL}
 SELECT 1::BIGINT AS step, 'Gross Transaction Value' AS stage, gmv::DOUBLE AS amount FROM r
 UNION ALL SELECT 2, 'Expected Revenue', fee::DOUBLE FROM r

@@ -11,7 +11,8 @@ RAW = """repeated_transactions AS (
  JOIN (VALUES (0), (1)) AS r(again) ON again = 0 OR transaction_id % 31 = 0),
 raw_invoices AS (
  SELECT invoice_id, merchant_id, midx, billing_period_start, invoice_date + again AS invoice_date,
-  CASE WHEN invoice_id % 37 <> 0 THEN due_date END AS due_date, expected_fee, k,
+  CASE WHEN invoice_id % 37 = 0 THEN NULL WHEN invoice_id % 59 = 0 THEN raw_date - 5 ELSE due_date END AS due_date,
+  expected_fee, k,
   CASE WHEN full_row THEN billed_fee END AS billed_fee,
   CASE WHEN full_row THEN total_invoice_amount END AS total_invoice_amount,
   invoice_status, payment_status, invoice_error_flag,
@@ -19,7 +20,7 @@ raw_invoices AS (
   CASE WHEN full_row THEN 0::DECIMAL(18,2) END AS discount,
   CASE WHEN full_row THEN billed_fee END AS taxable_amount, 0.18::DECIMAL(9,4) AS tax_rate,
   CASE WHEN full_row THEN (billed_fee * 0.18)::DECIMAL(18,2) END AS tax_amount
- FROM (SELECT *, invoice_id % 41 <> 0 AS full_row FROM invoices)
+ FROM (SELECT *, invoice_date AS raw_date, invoice_id % 41 <> 0 AS full_row FROM invoices)
  JOIN (VALUES (0), (1)) AS r(again) ON again = 0 OR invoice_id % 43 = 0),
 raw_payments AS (SELECT payment_id, invoice_id, merchant_id, payment_date + again AS payment_date,
   CASE WHEN abs(payment_id) % 53 <> 0 THEN payment_amount END AS payment_amount, payment_status,

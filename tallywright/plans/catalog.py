@@ -294,6 +294,7 @@ RESULTS: dict[str, Result] = {
     "realization_month": lambda m: realization.revenue_realization(m, "month"),
     "realization_merchant": lambda m: realization.revenue_realization(m, "merchant"),
     "realization_overall": lambda m: realization.revenue_realization(m, "overall"),
+    "realization_grains": realization.realization_grains,
     "m_funnel": lambda m: realization.funnel(realization.revenue_realization(m, "overall")),
     # reconciliation
     "recon_payments": reconciliation.reconcile_payments,

@@ -16,6 +16,7 @@ from tallywright.model import Tables
 from tallywright.operators import (
     billing, cleaning, collections, leakage, quality, realization, receivables, reconciliation, star,
 )
+from tallywright.session import ensure_checkpoint_dir
 from tallywright.sources import files
 
 
@@ -71,8 +72,10 @@ def publish_reports(
         return done[name]
 
     months = put("billing_analysis", billing.billing_merchant_month(tables))
+    ensure_checkpoint_dir(months.sparkSession)
+    grains = realization.realization_grains(tables).checkpoint()
     for grain, name in (("overall", "overall"), ("month", "by_month"), ("merchant", "by_merchant")):
-        put(f"revenue_realization_{name}", realization.revenue_realization(tables, grain))
+        put(f"revenue_realization_{name}", realization.realization_of(grains, grain))
 
     put("reconciliation_payments", reconciliation.reconcile_payments(tables))
     invoices = put("reconciliation_invoices", reconciliation.reconcile_invoices(tables))

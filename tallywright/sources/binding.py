@@ -391,7 +391,9 @@ def _raw_invoices(invoices: DataFrame) -> DataFrame:
     blank = number % 41 == 0
     tax_rate = F.lit("0.18").cast("decimal(9,4)")
     with_tax = invoices.withColumns({
-        "due_date": F.when(number % 37 != 0, F.col("due_date")),
+        # none at all, or before the invoice itself
+        "due_date": F.when(number % 37 == 0, None).when(number % 59 == 0, F.date_sub("invoice_date", 5))
+        .otherwise(F.col("due_date")),
         "subtotal": F.when(~blank, F.col("billed_fee")),
         "discount": F.when(~blank, money(F.lit(0))),
         "taxable_amount": F.when(~blank, F.col("billed_fee")),

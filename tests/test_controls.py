@@ -139,3 +139,12 @@ def test_cash_without_invoice_only_shows_overall(controls):
     assert set(merchants) == {"oak", "elm"}
     lost = overall.collected_revenue - sum(r.collected_revenue for r in merchants.values())
     assert float(lost) == 18 + 18 + 25  # two strays and the unknown invoice
+
+
+def test_one_aggregate_gives_all_grains(controls):
+    grains = realization.realization_grains(controls)
+    for grain in ("month", "merchant", "overall"):
+        want = realization.revenue_realization(controls, grain)
+        got = realization.realization_of(grains, grain)
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
