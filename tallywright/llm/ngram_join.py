@@ -1,24 +1,29 @@
 """Jaccard self-join of word n-gram sets by PartEnum signatures.
 
 Sets are put into size bands; two similar sets lie in one band or in neighbouring ones, and
-differ in at most k elements, k following from the band's largest size.  Elements are
-dealt by hash into (k + 1) / 2 parts of three sub-parts each: some part differs in at most
-one element, so all but one of its sub-parts agree, and each choice of these is a signature.
-
-Signatures lead to families (sets tied by shared signatures), not to pairs, since a large
-group of near copies shares most of them.  A family is compared with one of its sets, the
-hub that shares most.  With D(x) the difference of x to the hub, sets x and y differ in
-|D(x)| + |D(y)| - 2 |D(x) & D(y)| elements, whatever the hub is.  So two sets near enough to
-the hub are linked outright, all of them through the nearest one, and every other link must
-share an element among the first of D in a common order (hub's elements last).  Those few
-pairs are verified on the complete differences.  No link is lost: the three steps follow
-from the definition, with no cap and no chance but equal 64-bit hashes.
+differ in at most k elements, k following from the band's largest size.  Elements are dealt
+by hash into parts of three sub-parts each, more than k / 2 parts: some part differs in at
+most one element, so all but one of its sub-parts agree, and each choice of these is a
+signature.
+
+A choice may hold no element of a set, which tells nothing and would be shared by strangers.
+Bands have e more parts than they need, so that similar sets share signatures in e + 1
+parts.  A set in which no more than e parts have such an empty choice leaves the empty ones
+out, and still has a signature in common with each similar set; only sets with more of them
+use theirs, and meet each other there.
+
+The sets that share signatures with the same least set are a bucket.  Buckets are compared
+on full sets with hubs in place of pairs (``circulant_minhash``, steps 1 to 4), so that a
+group of near copies costs its size.  No link is lost: all follows from the definition, with
+no cap and no chance but equal 64-bit hashes.
 
 Equal sets collapse before: within a task while reading, across tasks by a fingerprint.
 
 Defined results: null or wordless text has an empty set and is alone, with ``kept`` true.
 With fewer than n words the whole sequence is the one shingle.  Repeated rows have one
-class; the row of the smallest doc_id, then the first read, is the one ``kept``.
+class; the row of the smallest doc_id, then the first read, is the one ``kept``.  Texts of
+any length count whole.  Of other columns only those named in ``carry`` come along, and a
+result whose name one of them has gets underscores before it.
 """
 
 from __future__ import annotations
@@ -34,28 +39,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywright.llm.common import sliced, written
-from tallywright.llm.components import connected_components
+from tallywright.llm.circulant_minhash import WordHashes, shingle_sets
+from tallywright.llm.circulant_minhash import _links as links_in_buckets
+from tallywright.llm.common import drop_tables, lots, unclashed, working_tables, written
 
-SALTS = 64
-#: Members of a family for which it gets another salt.
-ROWS_PER_SALT = 500
-BROADCAST_ROWS = 1_000_000
-#: Word hashes and set fingerprints that a task remembers; it forgets them all beyond.
+#: Set fingerprints that a task remembers; it forgets them all beyond.
 CACHED = 100_000
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = WordHashes()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -65,17 +56,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the word n-grams, ASCII letters lower-cased."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    hashes = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    length = min(size, len(words))
-    places = len(words) - length + 1
-    total = np.full(places, (length * 0x9E3779B97F4A7C15) & (2**64 - 1), dtype=np.uint64)
-    for j in range(length):
-        # an odd factor per place keeps the order of the words
-        total += mix(hashes[j : j + places] + np.uint64(j + 1)) * np.uint64(2 * j + 0x632BE59BD9B4E019)
-    return np.unique(mix(total))
+    return shingle_sets([text], size, WordHashes())[0]
 
 
 @lru_cache
@@ -88,10 +69,25 @@ def bands(num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(tops), np.array([2 * top * (den - num) // (den + num) for top in tops])
 
 
+@lru_cache
+def parts_of(top: int, k: int, sub: int) -> tuple[int, int]:
+    """Parts of a band, and how many of them may have an empty choice."""
+    needed, spare = (k + 2) // 2, 0
+    for _ in range(20):
+        parts = needed + spare
+        # choices of one part that a set near the band's top leaves empty
+        empty = parts * sub * np.exp(-top * (sub - 1) / (parts * sub))
+        asked = int(empty + 2 * np.sqrt(empty)) if empty >= 0.1 else 0
+        if asked <= spare:
+            break
+        spare = min(asked, needed)
+    return needed + spare, spare
+
+
 def signatures(elements: np.ndarray, num: int, den: int, sub: int = 3) -> np.ndarray:
     """PartEnum signatures of a set for its own size band and the next one.
 
-    48 bits each: chance agreements only join families, whose links are verified.
+    48 bits each: chance agreements only make buckets, whose links are verified.
     """
     tops, most = bands(num, den)
     own = int(np.searchsorted(tops, len(elements)))
@@ -102,15 +98,21 @@ def signatures(elements: np.ndarray, num: int, den: int, sub: int = 3) -> np.nda
         k = int(most[band])
         if k == 0:
             parts = content.sum(dtype=np.uint64).reshape(1, 1)
+            told = np.ones(1, dtype=bool)
         else:
-            first = (k + 2) // 2
+            first, spare = parts_of(int(tops[band]), k, sub)
             cells = np.zeros(first * sub, dtype=np.uint64)
-            at = (spread % np.uint64(first)) * np.uint64(sub) + (spread >> np.uint64(40)) % np.uint64(sub)
-            np.add.at(cells, at.astype(np.int64), content)
+            at = ((spread % np.uint64(first)) * np.uint64(sub) + (spread >> np.uint64(40)) % np.uint64(sub)).astype(np.int64)
+            np.add.at(cells, at, content)
             cells = cells.reshape(first, sub)
             parts = cells.sum(axis=1, keepdims=True, dtype=np.uint64) - cells
+            counts = np.bincount(at, minlength=first * sub).reshape(first, sub)
+            filled = counts.sum(axis=1, keepdims=True) > counts
+            told = filled.reshape(-1)
+            if first - int(filled.all(axis=1).sum()) > spare:
+                told = np.ones(first * sub, dtype=bool)
         label = mix(np.arange(parts.size, dtype=np.uint64) + np.uint64(band << 40))
-        found.append(mix(parts.reshape(-1) + label))
+        found.append(mix(parts.reshape(-1) + label)[told])
     return (np.concatenate(found) >> np.uint64(16)).view(np.int64)
 
 
@@ -118,13 +120,13 @@ def _signed(size: int, num: int, den: int, sub: int):
     """Row and signatures of each head."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            texts = batch.column("_text").cast(pa.binary()).to_pylist()
-            found = [signatures(shingle_set(t, size), num, den, sub) for t in texts]
+        known = WordHashes()
+        for batch in lots(batches, "_text"):
+            sets = shingle_sets(batch.column("_text").cast(pa.binary()).to_pylist(), size, known)
+            found = [signatures(s, num, den, sub) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row"), pa.array(found, pa.list_(pa.int64()))], names=["_row", "_signatures"]
             )
-        _words.clear()
 
     return run
 
@@ -133,154 +135,48 @@ def _named(size: int):
     """Row number, set size, fingerprint, and whether the task meets the set first (a head)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, seen = TaskContext.get().partitionId() << 33, set()
-        for batch in sliced(batches):
-            rows, sizes, nodes, heads = [], [], [], []
-            for text in batch.column("_text").cast(pa.binary()).to_pylist():
-                elements = shingle_set(text, size)
+        row, seen, known = TaskContext.get().partitionId() << 33, set(), WordHashes()
+        for batch in lots(batches, "_text"):
+            sets = shingle_sets(batch.column("_text").cast(pa.binary()).to_pylist(), size, known)
+            nodes, heads = [], []
+            for elements in sets:
                 node = xxhash.xxh3_128_digest(elements.tobytes()) if len(elements) else None
                 new = node is not None and node not in seen
                 if new:
                     if len(seen) > CACHED:
                         seen.clear()
                     seen.add(node)
-                rows.append(row)
-                sizes.append(len(elements))
                 nodes.append(node)
                 heads.append(new)
-                row += 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("_carried"), batch.column("_text"), pa.array(rows, pa.int64()),
-                    pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
+                    batch.column("_carried"), batch.column("_text"),
+                    pa.array(np.arange(row, row + len(sets)), pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()),
                     pa.array(heads, pa.bool_()),
                 ],
                 names=["_carried", "_text", "_row", "n_shingles", "_node", "_head"],
             )
-        _words.clear()
+            row += len(sets)
 
     return run
 
 
-def _differences(size: int):
-    """Each set's difference to its family's hub: own elements first, then the hub's."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hubs: dict[int, np.ndarray] = {}
-        for batch in sliced(batches):
-            sizes, out = [], []
-            families = batch.column("_family").to_pylist()
-            texts = batch.column("_text").cast(pa.binary())
-            hub_texts = batch.column("_hub_text").cast(pa.binary())
-            for at, family in enumerate(families):
-                if family not in hubs:
-                    if len(hubs) > 50:
-                        hubs.clear()
-                    hubs[family] = shingle_set(hub_texts[at].as_py(), size)
-                hub, own = hubs[family], shingle_set(texts[at].as_py(), size)
-                sizes.append(len(own))
-                out.append(np.concatenate([
-                    np.setdiff1d(own, hub, assume_unique=True), np.setdiff1d(hub, own, assume_unique=True)
-                ]).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_row"), batch.column("_family"), pa.array(sizes, pa.int64()),
-                    pa.array(out, pa.list_(pa.int64())),
-                ],
-                names=["_row", "_family", "_n", "_delta"],
-            )
-        _words.clear()
-
-    return run
-
-
-def _few(df: DataFrame) -> DataFrame:
-    """Marked for broadcasting where its counted rows are few; else Spark shuffles it."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
-def _links(named: DataFrame, classes: DataFrame, size: int, num: int, den: int, sub: int) -> DataFrame:
-    """Edges (a, b) between class rows that connect what similarity connects."""
-    heads = named.where("_head").select("_row", "_node")
-    twins = written(  # heads of one class in several tasks
-        heads.join(classes.select("_node", "_class"), "_node").where("_row <> _class").select("_row", "_class"),
-        "twins",
-    )
+def _components(named: DataFrame, classes: DataFrame, size: int, num: int, den: int, sub: int) -> DataFrame:
+    """(node, component) of the classes that have a link."""
     same = Window.partitionBy("_signature")
-    shared = (
+    firsts = classes.select(F.col("_class").alias("_row"))
+    shared = written(
         # signatures are many times the rows: they go straight into the shuffle, never to a table
-        named.where("_head").select("_row", "_text")
+        named.where("_head").select("_row", "_text").join(firsts, "_row")
         .mapInArrow(_signed(size, num, den, sub), "_row long, _signatures array<long>")
         .select("_row", F.explode("_signatures").alias("_signature"))
-        .withColumns({"_least": F.min("_row").over(same), "_sets": F.count(F.lit(1)).over(same)})
-        .where("_sets > 1")
-        .groupBy("_row", "_least").agg(F.count(F.lit(1)).alias("_times"))
-    )
-    for name in ("_row", "_least"):
-        twin = twins.select(F.col("_row").alias(name), F.col("_class").alias("_to"))
-        shared = shared.join(twin, name, "left").withColumn(name, F.coalesce("_to", name)).drop("_to")
-    shared = written(shared, "shared-signatures")
-    family = connected_components(shared.select(F.col("_row").alias("a"), F.col("_least").alias("b")))
-    weight = shared.groupBy("_row").agg(F.sum("_times").alias("_weight"))
-    members = written(
-        family.select(F.col("node").alias("_row"), F.col("component").alias("_family"))
-        .join(weight, "_row", "left").withColumn("_weight", F.coalesce("_weight", F.lit(0))),
-        "members",
-    )
-    # large families are dealt over several salts, and only they have copies of their hub's text
-    hubs = members.groupBy("_family").agg(
-        F.max_by("_row", F.struct("_weight", -F.col("_row"))).alias("_hub"),
-        F.least(F.lit(SALTS), F.ceil(F.count(F.lit(1)) / ROWS_PER_SALT)).cast("int").alias("_salts"),
-    )
-    placed = members.select("_row", "_family").join(hubs, "_family").select(
-        "_row", "_family", F.pmod(F.xxhash64("_row"), F.col("_salts")).cast("int").alias("_salt")
-    )
-    texts = named.select("_row", "_text")
-    hub_texts = (
-        texts.join(_few(hubs.select(F.col("_hub").alias("_row"), "_family", "_salts")), "_row")
-        .select(
-            "_family", F.col("_text").alias("_hub_text"),
-            F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"),
-        )
+        .withColumns({"_bucket": F.min("_row").over(same), "_sets": F.count(F.lit(1)).over(same)})
+        .where("_sets > 1").select("_bucket", "_row").distinct(),
+        "shared-signatures",
     )
-    deltas = written(
-        texts.join(_few(written(placed, "placed-members")), "_row").join(hub_texts, ["_family", "_salt"])
-        .select("_row", "_family", "_text", "_hub_text")
-        .mapInArrow(_differences(size), "_row long, _family long, _n long, _delta array<long>"),
-        "differences",
-    )
-    # x and y are linked iff slack(x) + slack(y) + 2 (num + den) |D(x) & D(y)| >= 0
-    slack = (den - num) * F.col("_n") - (num + den) * F.size("_delta")
-    sets = deltas.withColumn("_slack", slack)
-    nearest = sets.groupBy("_family").agg(
-        F.max_by("_row", F.struct("_slack", -F.col("_row"))).alias("_nearest"),
-        F.max("_slack").alias("_most"),
-    )
-    sets = sets.join(nearest, "_family").withColumn("_auto", F.col("_slack") + F.col("_most") >= 0)
-    outright = sets.where("_auto and _row <> _nearest").select(
-        F.col("_row").alias("a"), F.col("_nearest").alias("b")
-    )
-    reach = F.least(F.size("_delta").cast("long"), F.floor((den - num) * F.col("_n") / num) + 1)
-    firsts = sets.select(
-        "_family", "_row", "_slack", "_auto", F.size("_delta").alias("_d"),
-        F.posexplode(F.slice("_delta", F.lit(1), reach.cast("int"))).alias("_at", "_element"),
-    )
-    x, y = firsts.alias("x"), firsts.alias("y")
-    c = F.col
-    behind = F.least(c("x._d") - c("x._at"), c("y._d") - c("y._at"))
-    candidates = x.join(
-        y,
-        (c("x._family") == c("y._family")) & (c("x._element") == c("y._element"))
-        & (c("x._row") < c("y._row")) & ~(c("x._auto") & c("y._auto"))
-        & (c("x._slack") + c("y._slack") + 2 * (num + den) * behind >= 0),
-    ).select(c("x._row").alias("a"), c("y._row").alias("b")).distinct()
-    side = lambda k: deltas.select(F.col("_row").alias(k), F.col("_delta").alias(f"_{k}"), slack.alias(f"_s{k}"))
-    verified = (
-        candidates.join(side("a"), "a").join(side("b"), "b")
-        .where(c("_sa") + c("_sb") + 2 * (num + den) * F.size(F.array_intersect("_a", "_b")) >= 0)
-        .select("a", "b")
-    )
-    return outright.unionByName(verified)
+    texts = written(named.select("_row", "_text").join(shared.select("_row").distinct(), "_row"), "bucket-texts")
+    return links_in_buckets(shared, texts, size, num, den)
 
 
 def ngram_jaccard_join(
@@ -319,7 +215,10 @@ def ngram_jaccard_join(
         ),
         "classes",
     )
-    linked = connected_components(_links(named, classes, size, num, den, sub_parts))
+    with working_tables() as made:
+        linked = _components(named, classes, size, num, den, sub_parts)
+    linked = written(linked, "components")
+    drop_tables(docs.sparkSession, made)
     joined = classes.join(linked.withColumnRenamed("node", "_class"), "_class", "left").withColumn(
         "component", F.coalesce("component", "_class")
     )
@@ -328,17 +227,16 @@ def ngram_jaccard_join(
     )
     answer = joined.select("_node", "component").join(groups, "component").drop("component")
     rows = named.select("_carried", *(["_text"] if text in carry else []), "_row", "n_shingles", "_node")
-    return rows.join(answer, "_node", "left").select(
+    # rows without a set are answered alone, away from the join
+    told = rows.where(F.col("_node").isNotNull()).join(answer, "_node").unionByName(
+        rows.where(F.col("_node").isNull()), allowMissingColumns=True
+    )
+    results = {
+        "doc_id": F.col("_carried._id"), "n_shingles": F.col("n_shingles"),
+        "component_id": F.when(F.col("_node").isNull(), F.col("_carried._id")).otherwise(F.col("component_id")),
+        "kept": F.coalesce(F.col("_row") == F.col("_first.row"), F.lit(True)),
+    }
+    return told.select(
         *[(F.col("_text") if n == text else F.col("_carried._more")[n]).alias(n) for n in carry],
-        F.col("_carried._id").alias(free_of(carry, "doc_id")),
-        "n_shingles",
-        F.coalesce("component_id", "_carried._id").alias("component_id"),
-        F.coalesce(F.col("_row") == F.col("_first.row"), F.lit(True)).alias("kept"),
+        *[value.alias(unclashed(carry, name)) for name, value in results.items()],
     )
-
-
-def free_of(taken: tuple[str, ...], name: str) -> str:
-    """``name``, with underscores before it until it is none of ``taken``."""
-    while name.lower() in {t.lower() for t in taken}:
-        name = "_" + name
-    return name
