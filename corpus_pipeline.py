@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import drop_tables, read_table, working_tables, written
+from tallywright.llm.common import drop_tables, read_table, unclashed, working_tables, written
 from tallywright.llm.line_dedup import line_dedup
 from tallywright.llm.mixing import domain_of, mix
 from tallywright.llm.ngram_join import ngram_jaccard_join
@@ -34,8 +34,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near copies (five words, 0.8)."""
     columns = tuple(docs.columns)
-    joined = ngram_jaccard_join(docs, carry=columns, sub_parts=2)
-    return joined.where("kept").select(*columns)
+    joined = ngram_jaccard_join(docs, carry=columns)
+    return joined.where(unclashed(columns, "kept")).select(*columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
