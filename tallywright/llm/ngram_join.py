@@ -45,6 +45,8 @@ from tallywright.llm.common import drop_tables, lots, unclashed, working_tables,
 
 #: Set fingerprints that a task remembers; it forgets them all beyond.
 CACHED = 100_000
+#: Row numbers that are sent to the executors whole.
+BROADCAST_ROWS = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -162,20 +164,38 @@ def _named(size: int):
     return run
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """Marked for broadcasting where its counted rows are few; else Spark shuffles it."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def _components(named: DataFrame, classes: DataFrame, size: int, num: int, den: int, sub: int) -> DataFrame:
     """(node, component) of the classes that have a link."""
     same = Window.partitionBy("_signature")
-    firsts = classes.select(F.col("_class").alias("_row"))
-    shared = written(
+    heads = named.where("_head")
+    twins = written(  # heads of one class in several tasks
+        heads.select("_row", "_node").join(classes.select("_node", "_class"), "_node")
+        .where("_row <> _class").select("_row", "_class"),
+        "twins",
+    )
+    shared = (
         # signatures are many times the rows: they go straight into the shuffle, never to a table
-        named.where("_head").select("_row", "_text").join(firsts, "_row")
+        heads.select("_row", "_text")
         .mapInArrow(_signed(size, num, den, sub), "_row long, _signatures array<long>")
         .select("_row", F.explode("_signatures").alias("_signature"))
         .withColumns({"_bucket": F.min("_row").over(same), "_sets": F.count(F.lit(1)).over(same)})
-        .where("_sets > 1").select("_bucket", "_row").distinct(),
-        "shared-signatures",
+        .where("_sets > 1").select("_bucket", "_row").distinct()
+    )
+    for name in ("_row", "_bucket"):
+        twin = twins.select(F.col("_row").alias(name), F.col("_class").alias("_to"))
+        shared = shared.join(twin, name, "left").withColumn(name, F.coalesce("_to", name)).drop("_to")
+    shared = written(shared.distinct(), "shared-signatures")
+    members = written(
+        # a bucket of one class has no link to find
+        shared.where("_row <> _bucket").select(F.explode(F.array("_row", "_bucket")).alias("_row")).distinct(),
+        "bucket-members",
     )
-    texts = written(named.select("_row", "_text").join(shared.select("_row").distinct(), "_row"), "bucket-texts")
+    texts = written(named.select("_row", "_text").join(_few(members), "_row"), "bucket-texts")
     return links_in_buckets(shared, texts, size, num, den)
 
 
