@@ -64,6 +64,16 @@ def number_rows(df: DataFrame, name: str, order: Sequence[Column]) -> DataFrame:
     )
 
 
+def salted_lookup(facts: DataFrame, dimension: DataFrame, key: str, spread: str, salts: int = 32) -> DataFrame:
+    """Inner join of facts with a small dimension; a key's facts are dealt over ``salts`` tasks.
+
+    Each fact takes its salt from the column ``spread``; dimension rows are repeated per salt.
+    """
+    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return facts.withColumn("_salt", salt).join(copies, [key, "_salt"]).drop("_salt")
+
+
 def as_of_value(
     facts: DataFrame,
     history: DataFrame,

@@ -16,6 +16,7 @@ from tallywright.functions.dates import days_between, month_label, trailing
 from tallywright.functions.numeric import (
     count_where, dbl, money, percent, ratio, round_dp, sum_where, zero,
 )
+from tallywright.functions.relational import salted_lookup
 from tallywright.model import Tables
 from tallywright.operators.ledger import (
     applied, counted_credits, not_void, open_balance, paid_invoices, payment_dates, successful,
@@ -419,8 +420,9 @@ def dispute_summary(tables: Tables) -> DataFrame:
 def refund_rate_by_industry(tables: Tables) -> DataFrame:
     """All transaction statuses; amounts and distinct ids take separate aggregates.
 
-    Amounts collapse to merchants before the join.  Distinct ids need a shuffle
-    by id, which is even however large one industry is.
+    Amounts collapse to merchants before the join.  Ids meet their merchant's industry in
+    a salted join; distinct ones need a shuffle by id.  Both are even, however large one
+    merchant or industry is.
     """
     industries = tables["merchants"].select("merchant_id", "industry")
     amounts = (
@@ -430,10 +432,9 @@ def refund_rate_by_industry(tables: Tables) -> DataFrame:
         .groupBy("industry")
         .agg(F.sum("amount").alias("amount"), F.sum("refund").alias("refund"))
     )
+    named = tables["transactions"].where(c("transaction_id").isNotNull()).select("transaction_id", "merchant_id")
     ids = (
-        tables["transactions"].where(c("transaction_id").isNotNull())
-        .select("transaction_id", "merchant_id")
-        .join(industries, "merchant_id")
+        salted_lookup(named, industries, "merchant_id", "transaction_id")
         .groupBy("industry")
         .agg(F.countDistinct("transaction_id").alias("transaction_count"))
     )

@@ -10,7 +10,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallywright.functions.relational import as_of_value, keep_first, number_rows
+from tallywright.functions.relational import as_of_value, keep_first, number_rows, salted_lookup
 from tallywright.operators import adhoc, reconciliation
 from tallywright.plans.catalog import RESULTS
 from tallywright.sources.binding import BoundModel
@@ -142,6 +142,31 @@ def test_keep_first_counts_copies(spark):
     assert got == {1: (3, "a", 3), 2: (None, "z", 1), None: (1, "n", 2)}
 
 
+def test_salted_lookup_of_a_hot_key(spark):
+    rows = [(n, "hot" if n % 3 == 0 else None if n % 3 == 1 else f"k{n % 7}") for n in range(3000)]
+    facts = spark.createDataFrame(rows, "id int, key string")
+    names = {"hot": "H", "k0": "A", "k1": "A", "k2": "B", "unused": "U"}
+    dimension = spark.createDataFrame(list(names.items()), "key string, name string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = salted_lookup(facts, dimension, "key", "id", salts=8)
+        # every row once, and the hot key's rows in several tasks
+        assert Counter((r.id, r.key, r.name) for r in got.collect()) == Counter(
+            (n, k, names[k]) for n, k in rows if k in names
+        )
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        tasks = got.where("key = 'hot'").select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tasks > 1
+
+
+def test_industries_are_looked_up_by_salted_merchants(plans):
+    assert "hashpartitioning(merchant_id" in plans("sql_28") and "_salt" in plans("sql_28")
+
+
 @pytest.fixture(scope="module")
 def plans(spark):
     """Plans with broadcasting off, as for tables that are all large."""
