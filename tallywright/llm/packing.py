@@ -21,6 +21,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +30,45 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywright.llm.common import sliced, written
+from tallywright.llm.common import lots, written
 
-CACHED_WORDS = 600_000
+#: Bytes of words and of their parts that a generation of a task's memory holds.
+WORD_BYTES, PART_BYTES = 96 << 20, 64 << 20
 _encoders: dict[str, WordEncoder] = {}
 
 
+class Recent:
+    """A memory of codes in two generations: a full one ages, and forgets what was aged.
+
+    What is asked for again moves to the young one, so frequent words stay and rare ones go,
+    whatever their number; the bound is in bytes, as words may be long.
+    """
+
+    def __init__(self, most_bytes: int):
+        self.most, self.held = most_bytes, 0
+        self.young: dict = {}
+        self.aged: dict = {}
+
+    def turn(self) -> None:
+        if self.held > self.most:
+            self.aged, self.young, self.held = self.young, {}, 0
+
+    def add(self, codes: dict) -> None:
+        self.young.update(codes)
+        self.held += 2 * sum(map(len, codes)) + sum(map(len, codes.values())) + 180 * len(codes)
+
+    def unknown(self, keys: set) -> list:
+        """Those of the keys that are in neither generation; aged ones are young again."""
+        again = {key: self.aged[key] for key in keys if key in self.aged}
+        self.add(again)
+        return list(keys.difference(again))
+
+
 class WordEncoder:
     """Ids of a text as little-endian 32-bit numbers, word by word.
 
     The tokenizer never joins across ASCII white space, so a text's ids are those of its
-    words one after another, and a word is encoded once while it stays in the cache.
+    words one after another, and a word is encoded once while it is remembered.
     """
 
     def __init__(self, path: str):
@@ -47,8 +76,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.words, self.cores = Recent(WORD_BYTES), Recent(PART_BYTES)
 
     @staticmethod
     def _parts(word: bytes) -> tuple[str, ...]:
@@ -56,37 +84,30 @@ class WordEncoder:
         if b"<|" in word:  # may be a special token, whose letter case counts
             return (word.decode(),)
         text = word.lower().decode()
-        core = text[:-1]
-        if text[-1] in ".," and core.isalpha() and max(core) < "ɐ":
-            return core, text[-1]
+        if text[-1] in ".,":
+            core = text[:-1]
+            if core.isalpha() and (core.isascii() or max(core) < "ɐ"):
+                return core, text[-1]
         return (text,)
 
     def learn(self, missing: list[bytes]) -> None:
-        if len(self.cores) > CACHED_WORDS:
-            self.cores.clear()
-        parts = [self._parts(w) for w in missing]
-        fresh = list({p for each in parts for p in each if p not in self.cores})
-        for p, code in zip(
-            fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True
-        ):
-            self.cores[p] = array("I", code.ids).tobytes()
-        for word, each in zip(missing, parts, strict=True):
-            self.words[word] = b"".join([self.cores[p] for p in each])
+        self.cores.turn()
+        parts = list(map(self._parts, missing))
+        young = self.cores.young
+        fresh = self.cores.unknown(set(chain.from_iterable(parts)).difference(young))
+        coded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+        self.cores.add({p: array("I", code.ids).tobytes() for p, code in zip(fresh, coded, strict=True)})
+        self.words.add({
+            word: young[each[0]] if len(each) == 1 else young[each[0]] + young[each[1]]
+            for word, each in zip(missing, parts, strict=True)
+        })
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        known = self.words
-        if len(known) > CACHED_WORDS:
-            known.clear()
+        self.words.turn()
+        known = self.words.young
         split = [t.split() for t in texts]
-        codes = [list(map(known.get, words)) for words in split]
-        gaps = [(words, code) for words, code in zip(split, codes, strict=True) if None in code]
-        if gaps:
-            self.learn(list({w for words, code in gaps for w, c in zip(words, code, strict=True) if c is None}))
-            for words, code in gaps:
-                for at, c in enumerate(code):
-                    if c is None:
-                        code[at] = known[words[at]]
-        return [b"".join(code) for code in codes]
+        self.learn(self.words.unknown(set(chain.from_iterable(split)).difference(known)))
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -100,7 +121,7 @@ def _pieces(tokenizer: str, end_id: int, max_tokens: int, with_ids: bool):
         code, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         row = TaskContext.get().partitionId() << 33
         width = 4 * max_tokens
-        for batch in sliced(batches):
+        for batch in lots(batches, "_text", 8 << 20):
             texts = batch.column("_text").cast(pa.binary()).to_pylist()
             source, out = [], []
             for at, ids in enumerate(code.encode(texts)):
