@@ -20,10 +20,14 @@ from tallywright.llm.quality_rules import quality_rules
 TARGETS = {"good": 0.88, "low": 0.04, "toxic": 0.08}
 
 
+def _boxed(docs: DataFrame, *names: str) -> DataFrame:
+    """Whole rows as ``_doc`` beside the columns a stage reads, so that no result's name meets one of theirs."""
+    return docs.select(F.struct(*docs.columns).alias("_doc"), *names)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and resemble their language."""
-    columns = tuple(docs.columns)
-    return quality_rules(docs, keep=columns).where("kept").select(*columns)
+    return quality_rules(_boxed(docs, "text", "lang"), keep=("_doc",)).where("kept").select("_doc.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +44,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that expected tokens by domain match the targets."""
-    columns = tuple(docs.columns)
     labels = domain_of(read_table(spark, sf_dir, "labels"))
-    rated = mix(docs, labels, TARGETS, floor=1.0, carry=columns)
-    return rated.select(*columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
+    rated = mix(_boxed(docs, "doc_id", "text"), labels, TARGETS, floor=1.0, carry=("_doc",))
+    return rated.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_doc.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
