@@ -330,3 +330,19 @@ def test_stage_results_outlive_later_stages(spark):
     held = stages["quality_rules"](spark, frame, FOLDER)
     stages["line_dedup"](spark, frame, FOLDER)
     assert held.count() <= 40 and len(held.collect()) == held.count()
+
+
+# names of results among the pipeline's columns
+
+
+@pytest.mark.parametrize("stage", ["quality", "near_duplicates", "mixture"])
+def test_stages_carry_columns_named_like_their_results(spark, stage):
+    import corpus_pipeline
+
+    run = getattr(corpus_pipeline, stage)
+    given = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    more = given.selectExpr("*", "1 AS kept", "2 AS n_words", "3 AS component_id", "4 AS copies", "5 AS rate")
+    got = run(spark, more, FOLDER)
+    assert got.columns == more.columns
+    rows = got.collect()
+    assert rows and {tuple(r)[-5:] for r in rows} == {(1, 2, 3, 4, 5)}
