@@ -12,7 +12,6 @@ columns beside id, text and (for learning) language are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,12 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywright.llm.common import held_out
+from tallywright.llm.common import held_out, sliced
 
-LETTER = re.compile(r"[^\W\d_]")
 GATES = ("z", "r", "n")
 
 
+def _lettered(text: str) -> bool:
+    """Whether the text has a letter; numbers like ½ and Ⅷ are none."""
+    return any(map(str.isalpha, text))
+
+
 def _lanes(rng: np.random.Generator, hidden: int) -> dict[str, np.ndarray]:
     """One direction: per gate a row of inputs for each byte, and the recurrent weights."""
     lane = {}
@@ -178,9 +181,9 @@ class ByteTagger:
 
 def _label(model: ByteTagger | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("_text").to_pylist()
-            lettered = [i for i, t in enumerate(texts) if model and t and LETTER.search(t)]
+            lettered = [i for i, t in enumerate(texts) if model and t and _lettered(t)]
             names, scores = ["und"] * len(texts), [0.0] * len(texts)
             for low in range(0, len(lettered), 2000):
                 some = lettered[low : low + 2000]
@@ -198,16 +201,26 @@ def _label(model: ByteTagger | None):
 def learn(
     docs: DataFrame, *, doc_id: str, text: str, lang: str, sample: int, chars: int, hidden: int, steps: int
 ) -> ByteTagger | None:
-    """A tagger from about ``sample`` labelled rows that are not held out, ``chars`` of each."""
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(doc_id)))
-    share = sample / max(1, known.count())
-    drawn = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(1 << 20)) < share * (1 << 20)
-    start = F.pmod(F.xxhash64(F.col(doc_id), F.lit(1)), F.greatest(F.length(text) - chars, F.lit(1))) + 1
+    """A tagger from about ``sample`` labelled rows that are not held out, ``chars`` of each.
+
+    Every language gives an equal part of the sample, or all its rows where it has fewer.  Rows
+    are drawn by a hash of id and text; of repeated rows one counts.
+    """
+    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(doc_id))).select(
+        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
+        F.xxhash64(F.col(doc_id), F.col(text)).alias("key"),
+    )
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return None
+    each = -(-sample // len(sizes))
+    shares = F.create_map(*[F.lit(v) for name, n in sorted(sizes.items()) for v in (name, min(1.0, each / n))])
+    drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.element_at(shares, F.col("lang")) * (1 << 30)
+    start = F.pmod(F.xxhash64("key", F.lit(1)), F.greatest(F.length("text") - chars, F.lit(1))) + 1
     rows = known.where(drawn).select(
-        F.col(doc_id).alias("i"), F.col(lang).alias("lang"),
-        F.substring(F.col(text), start.cast("int"), F.lit(chars)).alias("text"),
-    ).collect()
-    rows = sorted((r for r in rows if LETTER.search(r["text"])), key=lambda r: (str(r["i"]), r["text"]))
+        "lang", "key", F.substring(F.col("text"), start.cast("int"), F.lit(chars)).alias("text")
+    ).distinct().collect()
+    rows = sorted((r for r in rows if _lettered(r["text"])), key=lambda r: (r["key"], r["lang"], r["text"]))
     if not rows:
         return None
     languages = sorted({r["lang"] for r in rows})
@@ -231,7 +244,7 @@ def identify_language(
     steps: int = 250,
 ) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each row.  ``sample`` bounds the rows that are
-    learned from and ``chars`` the part of each; every text is judged as a whole."""
+    learned from, in equal parts by language, and ``chars`` the part of each; every text is judged as a whole."""
     model = learn(docs, doc_id=doc_id, text=text, lang=lang, sample=sample, chars=chars, hidden=hidden, steps=steps)
     source = docs.select(
         F.col(doc_id).alias("_id"), held_out(F.col(doc_id)).alias("_held"), F.col(text).alias("_text")

@@ -1,10 +1,10 @@
 """Line deduplication by site-relative frequency.
 
 A line is boilerplate of a host if the share of the host's pages that hold it exceeds
-``max_ratio`` (and at least ``min_pages`` do).  Counts are summed per host and line before
+``max_ratio`` and at least ``min_pages`` do: two, as a line on one page alone repeats nothing.  Counts are summed per host and line before
 they are shuffled.  A host has at most (distinct lines per page) / max_ratio such lines, so
-its list of line hashes is short; it is joined to the host's pages, salted, and each page is
-filtered in place.  Texts are not regrouped.
+its list of line hashes is short; it is joined to the host's pages, salted by row, and each page
+is filtered in place.  Texts are not regrouped.
 
 Defined results: lines end at \\n and are compared without outer white space, by 64-bit
 hash; blank lines neither count nor go.  A null text stays null, a text that loses all its
@@ -60,7 +60,7 @@ def line_dedup(
     host: str = "source",
     text: str = "text",
     max_ratio: float = 0.1,
-    min_pages: int = 5,
+    min_pages: int = 2,
 ) -> DataFrame:
     """``pages`` with boilerplate lines taken out of ``text``, plus n_lines and n_dropped."""
     lists = written(boilerplate(pages, host, text, max_ratio, min_pages), "boilerplate")
@@ -71,7 +71,7 @@ def line_dedup(
         F.struct(*pages.columns).alias("_page"),
         F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"),
         F.col(host).isNotNull().alias("_known"),
-        F.pmod(F.xxhash64(F.col(text)), F.lit(SALTS)).cast("int").alias("_salt"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("_salt"),
     )
     joined = rows.join(salted, ["_host", "_known", "_salt"], "left")
     body = F.col("_page")[text]

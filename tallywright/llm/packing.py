@@ -25,6 +25,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,6 +82,8 @@ class WordEncoder:
     @staticmethod
     def _parts(word: bytes) -> tuple[str, ...]:
         """A word's pieces that are encoded apart: letters and a stop behind them."""
+        if not word:
+            return ()
         if b"<|" in word:  # may be a special token, whose letter case counts
             return (word.decode(),)
         text = word.lower().decode()
@@ -92,22 +95,39 @@ class WordEncoder:
 
     def learn(self, missing: list[bytes]) -> None:
         self.cores.turn()
-        parts = list(map(self._parts, missing))
+        parts = [self._parts(word) for word in missing]
         young = self.cores.young
         fresh = self.cores.unknown(set(chain.from_iterable(parts)).difference(young))
         coded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
         self.cores.add({p: array("I", code.ids).tobytes() for p, code in zip(fresh, coded, strict=True)})
         self.words.add({
-            word: young[each[0]] if len(each) == 1 else young[each[0]] + young[each[1]]
+            word: young[each[0]] if len(each) == 1 else b"".join(map(young.__getitem__, each))
             for word, each in zip(missing, parts, strict=True)
         })
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def _codes(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words; those that are not remembered are learned."""
         self.words.turn()
         known = self.words.young
-        split = [t.split() for t in texts]
-        self.learn(self.words.unknown(set(chain.from_iterable(split)).difference(known)))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        missing = [word for word in words if word not in known]
+        self.learn(self.words.unknown(set(missing)))
+        return list(map(known.__getitem__, words))
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text: a lot's distinct words are looked up once, then gathered."""
+        split = pc.ascii_split_whitespace(texts)
+        words = split.values.cast(pa.binary()).dictionary_encode()
+        codes = self._codes(words.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes)) // 4
+        flat = np.frombuffer(b"".join(codes), dtype="<u4")
+        at = words.indices.to_numpy(zero_copy_only=False)
+        each = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        # a token's place in ``flat``: its word's first one there, and its place in the word
+        shift = (np.cumsum(sizes) - sizes)[at] - ends[:-1]
+        ids = flat[np.arange(ends[-1]) + np.repeat(shift, each)]
+        borders = ends[split.offsets.to_numpy(zero_copy_only=False)]
+        return [ids[low:high] for low, high in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -122,10 +142,9 @@ def _pieces(tokenizer: str, end_id: int, max_tokens: int, with_ids: bool):
         row = TaskContext.get().partitionId() << 33
         width = 4 * max_tokens
         for batch in lots(batches, "_text", 8 << 20):
-            texts = batch.column("_text").cast(pa.binary()).to_pylist()
             source, out = [], []
-            for at, ids in enumerate(code.encode(texts)):
-                ids += end
+            for at, found in enumerate(code.encode(batch.column("_text"))):
+                ids = found.tobytes() + end
                 tokens = len(ids) // 4
                 for start in range(0, len(ids), width):
                     piece = ids[start : start + width]

@@ -162,7 +162,7 @@ h AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 often AS (
   SELECT source, key FROM (
     SELECT source, key, count(DISTINCT doc_id) AS c FROM k WHERE key <> '' GROUP BY source, key)
-  JOIN h USING (source) WHERE c >= 5 AND c > 0.1 * n),
+  JOIN h USING (source) WHERE c >= 2 AND c > 0.1 * n),
 m AS (SELECT k.*, often.key IS NOT NULL AS gone FROM k LEFT JOIN often USING (source, key))
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
        count(*) FILTER (WHERE key <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped

@@ -199,15 +199,17 @@ def classify_quality(
     cut: float = 0.7,
 ) -> DataFrame:
     """doc_id, held_out, score and predicted of each row; ``sample`` bounds the labelled rows
-    that are learned from (about, by hash of doc_id)."""
+    that are learned from (about, by hash of doc_id and statistics; of rows alike in both one counts)."""
     stats = written(statistics(docs, doc_id, text), "statistics")
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).alias("doc_id")
     ).agg(F.min(label).alias("_label")).where(~held_out(F.col("doc_id")))
-    share = sample / max(1, known.count())
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
     names = [f"f_{n}" for n in FEATURES]
-    rows = stats.join(known, "doc_id").orderBy("doc_id", *names).select("_label", *names).collect()
+    rated = stats.join(known, "doc_id").select("doc_id", "_label", *names)
+    share = sample / max(1, rated.count())
+    drawn = F.pmod(F.xxhash64("doc_id", *names), F.lit(1 << 30)) < share * (1 << 30)
+    rows = rated.where(drawn).distinct().collect()
+    rows = sorted((r[1:] for r in rows), key=lambda r: r[1:] + r[:1])
     x = np.array([r[1:] for r in rows], dtype=np.float64).reshape(len(rows), len(names))
     model = fit(x, np.array([float(r[0]) for r in rows]))
     return stats.select("doc_id", "held_out", model.column(names).alias("score")).withColumn(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import zlib
@@ -10,6 +11,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -133,6 +135,12 @@ def test_line_dedup_by_hand(spark):
     assert len(got) == len(rows)
 
 
+def test_lines_of_small_hosts_go_by_their_ratio(spark):
+    rows = [(i, f"shared\nown {i}", "en", "two") for i in range(2)] + [(9, "alone", "en", "one")]
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup(odd(spark, rows)).collect()}
+    assert got == {0: ("own 0", 1), 1: ("own 1", 1), 9: ("alone", 0)}
+
+
 def test_line_dedup_all_lines_gone_and_empty_table(spark):
     rows = [(i, "only", "en", None) for i in range(6)]
     assert {r.text for r in line_dedup(odd(spark, rows)).collect()} == {""}
@@ -159,8 +167,22 @@ def test_word_encoder_equals_the_tokenizer():
     ]
     plain = Tokenizer.from_file(TOKENS)
     want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
-    got = [np.frombuffer(b, dtype="<u4").tolist() for b in WordEncoder(TOKENS).encode([t.encode() for t in texts])]
-    assert got == want
+    coder = WordEncoder(TOKENS)
+    assert [ids.tolist() for ids in coder.encode(pa.array(texts, pa.string()))] == want
+    assert [ids.tolist() for ids in coder.encode(pa.array(texts, pa.string()).slice(3, 4))] == want[3:7]
+    assert coder.encode(pa.array([], pa.string())) == []
+
+
+def test_word_encoder_that_forgets_equals_the_tokenizer():
+    coder, plain = WordEncoder(TOKENS), Tokenizer.from_file(TOKENS)
+    coder.words.most = coder.cores.most = 2_000  # a few words: generations turn with every lot
+    texts = [text or "" for _, text, *_ in documents()[:60]]
+    for low in range(0, 60, 5):
+        got = coder.encode(pa.array(texts[low : low + 5], pa.string()))
+        assert [ids.tolist() for ids in got] == [
+            e.ids for e in plain.encode_batch(texts[low : low + 5], add_special_tokens=False)
+        ]
+    assert coder.words.aged
 
 
 @pytest.mark.parametrize("rows", [ODD, None])
@@ -208,6 +230,26 @@ def test_placing_is_exact_bounded_and_tight():
         assert len(slots(patterns)) <= 3 * 64 * 12
 
 
+def plain_shortest_pack_first(histogram, width):
+    """Lengths longest first, one piece after another into the shortest pack, or a new one."""
+    packs = []  # heap of used space
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            used = heapq.heappop(packs) if packs and packs[0] + length <= width else 0
+            heapq.heappush(packs, used + length)
+    return len(packs)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_placing_takes_as_few_packs_as_plain_shortest_pack_first(seed):
+    rng = np.random.default_rng(seed)
+    for width, top in ((64, 64), (256, 100), (2048, 2048)):
+        lengths = Counter((1 + np.minimum(rng.geometric(3 / top, 3000), top - 1)).tolist())
+        patterns = place(dict(lengths), width)
+        want = plain_shortest_pack_first(lengths, width)
+        assert sum(count for count, _ in patterns) <= 1.01 * want + 1
+
+
 def test_tagger_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     lane = {k: v.astype(np.float64) for k, v in language_id._lanes(rng, 3).items()}
@@ -227,6 +269,26 @@ def test_tagger_gradients_are_those_of_the_loss():
         assert grads[name][spot] == pytest.approx((up - down) / 2e-2, rel=0.05, abs=2e-3)
 
 
+def test_numbers_are_no_letters(spark):
+    texts = {1: "½ ² Ⅷ ①", 2: "12 _ ...", 3: "½ a"}
+    rows = [*texts.items(), (10, "some words"), (11, "some words")]
+    df = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score > 0) for r in language_id.identify_language(df, steps=20).collect()}
+    assert got[1] == got[2] == ("und", False) and got[3] == ("en", True)
+
+
+def test_rare_languages_are_learned_and_repeated_rows_count_once(spark):
+    rows = [(None, "the same words again and again", "en")] * 900
+    rows += [(i, f"the cat and the dog number {i} went home", "en") for i in range(900)]
+    rows += [(5000 + i, f"кот и собака {i} пошли домой", "ru") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(df, doc_id="doc_id", text="text", lang="lang", sample=40, chars=200, hidden=8, steps=40)
+    assert model.languages == ["en", "ru"]
+    got = language_id.identify_language(df, sample=40, steps=40)
+    assert {r.lang_pred for r in got.where("lang_pred = 'ru'").collect()} == {"ru"}
+    assert got.where("doc_id >= 5000 and lang_pred <> 'ru'").count() == 0
+
+
 def test_language_of_held_out_documents(spark):
     got = entry_module.queries()["op6_language_id"](spark, "/root/testdata/sf0.01").toPandas()
     want = duckdb.sql("SELECT doc_id, lang FROM '/root/testdata/sf0.01/documents.parquet'").df()
@@ -268,6 +330,18 @@ def test_quality_of_held_out_documents(spark):
     assert (got.predicted == (got.score >= 0.7)).all() and len(got) == 1000
 
 
+def test_labelled_rows_are_drawn_once_each(spark, monkeypatch):
+    rows = [(8, "the same good text")] * 400 + [(i, f"text {i} " * (1 + i % 30)) for i in range(100, 400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(8, 1)] + [(i, i % 2) for i in range(100, 400)], "doc_id long, quality int")
+    seen, fit = [], rule_ensemble.fit
+    monkeypatch.setattr(rule_ensemble, "fit", lambda x, y, **more: (seen.append(len(y)), fit(x, y, **more))[1])
+    assert rule_ensemble.classify_quality(df, labels).count() == len(rows)
+    assert seen[0] == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in [8, *range(100, 400)])
+    rule_ensemble.classify_quality(df, labels, sample=100).count()
+    assert seen[1] < 250
+
+
 def test_rules_compile_to_the_same_scores(spark):
     rng = np.random.default_rng(1)
     x = rng.random((400, 3))
