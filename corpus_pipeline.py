@@ -15,9 +15,9 @@ from tallywright.llm.ngram_join import ngram_jaccard_join
 from tallywright.llm.packing import pack
 from tallywright.llm.quality_rules import quality_rules
 
-#: Token shares by domain.  No document goes (every rate is at least one); the domains
-#: below their share are repeated.
-TARGETS = {"good": 0.88, "low": 0.04, "toxic": 0.08}
+#: Token shares by domain.  Documents that are most likely good stay; the others get the rate,
+#: below one or above, that brings their domains to these shares.
+TARGETS = {"good": 0.90, "low": 0.05, "toxic": 0.05}
 
 
 def _boxed(docs: DataFrame, *names: str) -> DataFrame:
@@ -45,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that expected tokens by domain match the targets."""
     labels = domain_of(read_table(spark, sf_dir, "labels"))
-    rated = mix(_boxed(docs, "doc_id", "text"), labels, TARGETS, floor=1.0, carry=("_doc",))
+    rated = mix(_boxed(docs, "doc_id", "text"), labels, TARGETS, whole=("good",), carry=("_doc",))
     return rated.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_doc.*")
 
 
