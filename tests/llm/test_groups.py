@@ -244,10 +244,9 @@ def plain_posteriors(texts, domains, temper=0.6, most=64):
 
 
 def test_posteriors_equal_plain_naive_bayes(spark):
-    folder = "/root/testdata/sf0.01"
-    got = entry_module.queries()["op1_mixing"](spark, folder).collect()
-    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet'").fetchall())
-    domains = {r.doc_id: r.domain for r in mixing.domain_of(spark.read.parquet(f"{folder}/labels.parquet")).collect()}
+    got = entry_module.queries()["op1_mixing"](spark, FOLDER).collect()
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{FOLDER}/documents.parquet'").fetchall())
+    domains = {r.doc_id: r.domain for r in mixing.domain_of(spark.read.parquet(f"{FOLDER}/labels.parquet")).collect()}
     names, want = plain_posteriors(texts, domains)
     for r in got:
         assert [r[f"p_{d}"] for d in names] == pytest.approx(want[r.doc_id], abs=1e-9)
