@@ -68,9 +68,13 @@ def salted_lookup(facts: DataFrame, dimension: DataFrame, key: str, spread: str,
     """Inner join of facts with a small dimension; a key's facts are dealt over ``salts`` tasks.
 
     Each fact takes its salt from the column ``spread``; dimension rows are repeated per salt.
+    Spark takes the repeated rows to be as few as the dimension's own and would broadcast them
+    all through the driver, so both sides are asked to meet in a shuffle.
     """
     salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copies = dimension.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    ).hint("merge")
     return facts.withColumn("_salt", salt).join(copies, [key, "_salt"]).drop("_salt")
 
 
