@@ -50,6 +50,16 @@ def sum_where(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value).otherwise(F.lit(0).cast(MONEY)))
 
 
+def sum_of_keys(key: Column) -> Column:
+    """Sum of BIGINT keys modulo 2^64, as a signed BIGINT: the sum itself wherever it fits.
+
+    Added up as DECIMAL, which no number of rows overflows.
+    """
+    half, whole = (F.lit(str(2**n)).cast("decimal(20,0)") for n in (63, 64))
+    total = F.sum(key.cast("decimal(19,0)"))
+    return (F.pmod(total + half, whole) - half).cast("bigint")
+
+
 def present(df: DataFrame) -> DataFrame:
     """Output types: DECIMAL and FLOAT become DOUBLE, small integers BIGINT."""
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallywright.functions.numeric import sum_of_keys
 from tallywright.model import TABLES
 from tallywright.plans.reports import validate_and_clean
 from tallywright.sources import files
@@ -184,3 +185,13 @@ def test_only_the_months_asked_for_are_replaced(spark, tmp_path):
     assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "star").rglob("year_month=2026-01/*.parquet")}
     files.export_star(later, folder)
     assert stored(spark, path) == [("2026-01", "a", 100.0), ("2026-02", "b", 200.0), ("2026-02", "d", 4.0)]
+
+
+def test_key_totals_beyond_bigint_wrap(spark):
+    def total(keys):
+        return spark.createDataFrame([(k,) for k in keys], "k bigint").agg(sum_of_keys(F.col("k"))).first()[0]
+
+    assert total([3, None, -10]) == -7
+    assert total([None]) is None
+    for keys in ([2**63 - 1] * 3, [-(2**63)] * 2, [2**62] * 2):
+        assert total(keys) == (sum(keys) + 2**63) % 2**64 - 2**63
