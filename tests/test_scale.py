@@ -14,6 +14,7 @@ from tallywright.functions.relational import as_of_value, keep_first, number_row
 from tallywright.operators import adhoc, reconciliation
 from tallywright.plans.catalog import RESULTS
 from tallywright.sources.binding import BoundModel
+from tallywright.sources.storage import names_in
 from tests.conftest import frame
 
 FOLDER = "/root/testdata/sf0.001"
@@ -209,6 +210,15 @@ def test_filters_and_columns_reach_the_scan(spark, capsys):
     assert "refund_amount" not in scan.split("ReadSchema")[1]
 
 
+def test_only_what_takes_a_shuffle_is_written(spark):
+    model = BoundModel(spark, FOLDER, "written")
+    # neither line items nor payments, which follow from invoices row by row
+    RESULTS["x_unmatched_payments"](model).collect()
+    assert set(names_in(spark, model._root)) == {"merchants", "billed_months"}
+    RESULTS["billing_missing_months"](model).collect()
+    assert set(names_in(spark, model._root)) == {"merchants", "billed_months", "lines"}
+
+
 def test_sample_limits_groups_before_the_shuffle(plans):
     assert "WindowGroupLimit" in plans("stratified_sample")
 
