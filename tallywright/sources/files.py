@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Collection, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -202,12 +202,17 @@ def export_star(
         if months is None:
             _by_month(dated).mode("overwrite").parquet(path)
             continue
-        dated = dated.where(F.col("year_month").isin(*months))
+        asked = sorted(set(months))
+        rows = Observation()
+        dated = dated.where(F.col("year_month").isin(*asked)).observe(
+            rows, F.count(F.lit(1)).alias("all"),
+            *[F.count_if(F.col("year_month") == month).alias(month) for month in asked],
+        )
         # only partitions that get rows are overwritten; the others asked for go by name
         _by_month(dated).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-        kept = {r.year_month for r in dated.select("year_month").distinct().collect()}
-        for month in set(months) - kept:
-            delete(df.sparkSession, f"{path}/year_month={month}")
+        for month in asked:
+            if not rows.get.get(month):
+                delete(df.sparkSession, f"{path}/year_month={month}")
 
 
 def _by_month(dated: DataFrame) -> DataFrameWriter:

@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 
 from tallywright.functions.numeric import sum_of_keys
 from tallywright.model import TABLES
+from tallywright.plans.catalog import RESULTS
 from tallywright.plans.reports import validate_and_clean
-from tallywright.sources import files
+from tallywright.sources import csv_files, files
+from tallywright.sources.binding import BoundModel
 from tallywright.sources.csv_files import csv_groups
 from tests.test_batch import RAW
 
@@ -195,3 +197,28 @@ def test_key_totals_beyond_bigint_wrap(spark):
     assert total([None]) is None
     for keys in ([2**63 - 1] * 3, [-(2**63)] * 2, [2**62] * 2):
         assert total(keys) == (sum(keys) + 2**63) % 2**64 - 2**63
+
+
+def test_months_are_replaced_without_a_second_run(spark, tmp_path, monkeypatch):
+    rows = [(dt.date(2026, m, 1),) for m in (1, 2)]
+    facts = {"fact_invoices": spark.createDataFrame(rows, "invoice_date date")}
+    files.export_star(facts, str(tmp_path))
+
+    def again(frame):
+        raise AssertionError("the fact was computed once more for its months")
+
+    monkeypatch.setattr(type(facts["fact_invoices"]), "collect", again)
+    later = {"fact_invoices": facts["fact_invoices"].where("month(invoice_date) = 1")}
+    files.export_star(later, str(tmp_path), months=("2026-01", "2026-02"))
+    monkeypatch.undo()
+    left = [r.year_month for r in spark.read.parquet(f"{tmp_path}/fact_invoices").collect()]
+    assert [str(month) for month in left] == ["2026-01"]
+
+
+def test_written_csv_is_not_searched_for_line_breaks(spark, monkeypatch):
+    def search(*args):
+        raise AssertionError("numbers and labels hold no line breaks")
+
+    monkeypatch.setattr(csv_files, "_with_quoted_breaks", search)
+    model = BoundModel(spark, "/root/testdata/sf0.001", "no-breaks")
+    assert RESULTS["write_csv"](model).count() == model["invoices"].count()
