@@ -6,7 +6,10 @@ of p(s(x) + k mod 2^32), the second permutation shifted circularly by k.  ``rows
 coordinates make a band, and sets that agree in a band share its bucket: with 24 bands of
 five, two sets of similarity 0.85 share none with a chance of 8 in 10 million.
 
-Sets that share a bucket are compared on their full sets, without listing a bucket's pairs:
+Sets that share a bucket are compared without listing a bucket's pairs.  Each comparison is
+of two sketches first, counts of a set's elements by hash: the counts of two sets differ by no
+more than the sets do, so most strangers part for good at a few hundred bytes, and texts are
+fetched only for pairs that may be linked, to be compared on full sets:
 
 1. Each bucket is compared with one of its sets, its hub: as many comparisons as members.
    Those near the hub are linked to it.
@@ -15,9 +18,11 @@ Sets that share a bucket are compared on their full sets, without listing a buck
    than the nearest unlinked one by more than that leaves its bucket, the hub leaves too,
    and a bucket whose sets are in one component is done.
 3. Buckets that are left get a hub of their smallest component, and so on while they have
-   more pairs of different components than there were entries, and a round halves these.
-4. The sets compared with one hub that are left meet in the elements by which they differ
-   from it: linked ones share one of the rarest, and pairs that do are compared.
+   more pairs of different components than there were entries or four times the rows, and a
+   round halves these.
+4. If the pairs that are left are no more than that, they are compared.  Otherwise the
+   sets compared with one hub meet in the elements by which they differ from it: linked
+   ones share one of the rarest, and pairs that do are compared.
 
 Equal sets are one set before this: within a task while reading, across tasks by a 128-bit
 fingerprint.  Shingles are compared by 64-bit hashes.
@@ -45,7 +50,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywright.llm.common import drop_tables, lots, unclashed, working_tables, written
+from tallywright.llm.common import drop_tables, few, lots, unclashed, working_tables, written
 from tallywright.llm.components import connected_components
 
 BANDS, ROWS = 24, 5
@@ -54,8 +59,12 @@ BLOCK = 1 << 13
 #: Bytes of words, and sets, that a task remembers; it forgets them all beyond.
 CACHED_BYTES = 16 << 20
 CACHED_SETS = 100_000
-#: Members of a hub for which its text gets another copy.
+#: Counts in a sketch, a byte each.
+CELLS = 256
+#: Members of a hub for which what they are compared with gets another copy.
 MEMBERS_PER_COPY = 500
+#: Pairs that may be listed at the end, by rows.
+LISTED_PER_ROW = 4
 
 _U64 = np.uint64
 
@@ -151,8 +160,16 @@ def band_keys(signed: np.ndarray, bands: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def sketch(elements: np.ndarray) -> bytes:
+    """How many elements have each hash below ``CELLS``, 255 at most.
+
+    Two sketches differ, cell by cell, by no more than the symmetric difference of the sets.
+    """
+    return np.minimum(np.bincount(elements & _U64(CELLS - 1), minlength=CELLS), 255).astype(np.uint8).tobytes()
+
+
 def _named(size: int, bands: int, rows: int):
-    """Row number, set size, fingerprint and, where the task meets the set first, its bands."""
+    """Row number, set size, fingerprint and, where the task meets the set first, its sketch and bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, seen, known = TaskContext.get().partitionId() << 33, set(), WordHashes()
@@ -168,18 +185,19 @@ def _named(size: int, bands: int, rows: int):
                     seen.add(node)
                     new.append(at)
             found: list[np.ndarray | None] = [None] * len(sets)
+            sketches: list[bytes | None] = [None] * len(sets)
             if new:
                 keys = band_keys(signatures([sets[at] for at in new], bands * rows), bands)
                 for at, own in zip(new, keys):
-                    found[at] = own
+                    found[at], sketches[at] = own, sketch(sets[at])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_carried"), batch.column("_text"),
                     pa.array(np.arange(row, row + len(sets)), pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()),
-                    pa.array(found, pa.list_(pa.int64())),
+                    pa.array(sketches, pa.binary()), pa.array(found, pa.list_(pa.int64())),
                 ],
-                names=["_carried", "_text", "_row", "n_shingles", "_node", "_bands"],
+                names=["_carried", "_text", "_row", "n_shingles", "_node", "_sketch", "_bands"],
             )
             row += len(sets)
 
@@ -211,44 +229,80 @@ def _against_hubs(size: int, name: str, kind: pa.DataType, result):
     return run
 
 
-def _sizes(hub: np.ndarray, own: np.ndarray) -> dict[str, int]:
-    whole = len(np.unique(np.concatenate([hub, own])))
-    return {"shared": len(hub) + len(own) - whole, "whole": whole}
-
-
 def _difference(hub: np.ndarray, own: np.ndarray) -> np.ndarray:
     return np.setxor1d(hub, own, assume_unique=True).view(np.int64)
 
 
-SIZES = pa.struct([("shared", pa.int64()), ("whole", pa.int64())])
+def _apart(hub: np.ndarray, own: np.ndarray) -> dict[str, int]:
+    return {"both": len(hub) + len(own), "apart": len(np.setxor1d(hub, own, assume_unique=True))}
+
 
+APART = pa.struct([("both", pa.int64()), ("apart", pa.int64())])
 
-def _with_hubs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Distinct (_hub, _row, _component) with both texts; a hub's text is dealt over several
-    copies by the number of its members."""
+
+def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """By how many elements two sets differ at least, from their sketches."""
+
+    def counts(batch: pa.RecordBatch, name: str) -> np.ndarray:
+        return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int64)
+
+    for batch in batches:
+        least = np.abs(counts(batch, "_sketch") - counts(batch, "_hub_sketch")).sum(axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("_hub"), batch.column("_row"), batch.column("_both"), pa.array(least, pa.int64())],
+            names=["_hub", "_row", "_both", "_apart"],
+        )
+
+
+def _with_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Distinct (_hub, _row, ...) with the columns of ``sets`` for both, a hub's named ``_hub...``;
+    these are dealt over several copies by the number of a hub's members."""
+    own = [c for c in sets.columns if c != "_row"]
     copies = pairs.groupBy("_hub").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_COPY).alias("_copies"))
-    hub_texts = texts.withColumnsRenamed({"_row": "_hub", "_text": "_hub_text"}).join(copies, "_hub").select(
-        "_hub", "_hub_text", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")
-    )
-    members = pairs.join(copies, "_hub").select(
-        "_hub", "_row", "_component", F.pmod(F.xxhash64("_row"), "_copies").alias("_copy")
-    )
-    both = members.join(texts, "_row").join(hub_texts, ["_hub", "_copy"])
-    return both.select("_hub", "_row", "_component", "_text", "_hub_text")
+    hubs = sets.withColumnsRenamed({"_row": "_hub"} | {c: "_hub" + c for c in own}).join(copies, "_hub").withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))
+    ).drop("_copies")
+    members = pairs.join(copies, "_hub").withColumn("_copy", F.pmod(F.xxhash64("_row"), "_copies")).drop("_copies")
+    return members.join(sets, "_row").join(hubs, ["_hub", "_copy"]).drop("_copy")
+
+
+def _texts(named: DataFrame, *rows: DataFrame) -> DataFrame:
+    """A table of the texts of ``rows``, of one column each."""
+    asked = rows[0]
+    for more in rows[1:]:
+        asked = asked.union(more)
+    asked = written(asked.toDF("_row").distinct(), "asked-rows")
+    return written(named.select("_row", "_text").join(few(asked), "_row"), "asked-texts")
 
 
 def _compare(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """Distinct (_hub, _row) with the sizes of intersection and union, as a table."""
+    """Distinct (_hub, _row) with both sizes added up and by how many elements the sets differ, as a table."""
     return written(
         _with_hubs(pairs.withColumn("_component", F.lit(None).cast("long")), texts).mapInArrow(
-            _against_hubs(size, "_sizes", SIZES, _sizes),
-            "_hub long, _row long, _component long, _n long, _sizes struct<shared: long, whole: long>",
-        ).select("_hub", "_row", F.col("_sizes.shared").alias("_shared"), F.col("_sizes.whole").alias("_whole")),
+            _against_hubs(size, "_sizes", APART, _apart),
+            "_hub long, _row long, _component long, _n long, _sizes struct<both: long, apart: long>",
+        ).select("_hub", "_row", F.col("_sizes.both").alias("_both"), F.col("_sizes.apart").alias("_apart")),
         "compared",
     )
 
 
-def _pairs_by_differences(left: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
+def _judged(pairs: DataFrame, named: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Distinct (_hub, _row) with both sizes added up, by how many elements the sets differ and
+    whether they are linked (``_near``); those whose sketches rule that out may differ by more."""
+    near = (den + num) * F.col("_apart") <= (den - num) * F.col("_both")
+    sketches = named.where(F.col("_sketch").isNotNull()).select("_row", "n_shingles", "_sketch")
+    bounds = written(
+        _with_hubs(pairs, sketches)
+        .select("_hub", "_row", "_sketch", "_hub_sketch", (F.col("n_shingles") + F.col("_hubn_shingles")).alias("_both"))
+        .mapInArrow(_bounds, "_hub long, _row long, _both long, _apart long"),
+        "bounds",
+    )
+    maybe = bounds.where(near).select("_hub", "_row")
+    exact = _compare(maybe, _texts(named, maybe.select("_hub"), maybe.select("_row")), size)
+    return bounds.where(~near).unionByName(exact).withColumn("_near", near)
+
+
+def _pairs_by_differences(left: DataFrame, named: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Pairs of different components that can be linked, among the sets compared with one hub.
 
     With D(x) the symmetric difference of x and the hub, x and y differ in as many elements as
@@ -259,7 +313,9 @@ def _pairs_by_differences(left: DataFrame, texts: DataFrame, size: int, num: int
     are linked to the hub.
     """
     apart = written(
-        _with_hubs(left.select("_hub", "_row", "_component").distinct(), texts).mapInArrow(
+        _with_hubs(
+            left.select("_hub", "_row", "_component").distinct(), _texts(named, left.select("_hub"), left.select("_row"))
+        ).mapInArrow(
             _against_hubs(size, "_d", pa.list_(pa.int64()), _difference),
             "_hub long, _row long, _component long, _n long, _d array<long>",
         ),
@@ -288,22 +344,33 @@ def _pairs_by_differences(left: DataFrame, texts: DataFrame, size: int, num: int
     ).select(c("x._row").alias("_hub"), c("y._row").alias("_row")).distinct()
 
 
-def _links(entries: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Components (node, component) of the rows of buckets; entries are (_bucket, _row)."""
-    near = den * F.col("_shared") >= num * F.col("_whole")
+def _listed_pairs(left: DataFrame) -> DataFrame:
+    """Pairs of one bucket and of different components."""
+    x, y, c = left.alias("x"), left.alias("y"), F.col
+    return x.join(
+        y, (c("x._bucket") == c("y._bucket")) & (c("x._row") < c("y._row")) & (c("x._component") != c("y._component"))
+    ).select(c("x._row").alias("_hub"), c("y._row").alias("_row")).distinct()
+
+
+def _links(entries: DataFrame, named: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Components (node, component) of the rows of buckets; entries are (_bucket, _row).
+
+    ``named`` has ``_row``, ``_text``, ``n_shingles`` and ``_sketch`` of all these rows.
+    """
     reach = (den - num) / den + 1e-9
     ends = F.col("_hub").alias("a"), F.col("_row").alias("b")
     hubs = entries.groupBy("_bucket").agg(F.min("_row").alias("_hub"))
-    allowed, last, edges = entries.count(), None, None
+    allowed, last, edges = max(entries.count(), LISTED_PER_ROW * named.count()), None, None
     while True:
         placed = entries.join(hubs, "_bucket").where("_row <> _hub")
-        seen = _compare(placed.select("_hub", "_row").distinct(), texts, size)
-        found = seen.where(near).select(*ends)
+        seen = _judged(placed.select("_hub", "_row").distinct(), named, size, num, den)
+        found = seen.where("_near").select(*ends)
         edges = written(found if edges is None else edges.unionByName(found), "links")
         components = connected_components(edges)
         # who may still have a link in the bucket
         far = placed.select("_bucket", "_hub", "_row").join(seen, ["_hub", "_row"]).select(
-            "_bucket", "_hub", "_row", (1 - F.col("_shared") / F.col("_whole")).alias("_far"), near.alias("_near")
+            # the distance, or less for sets that are not linked
+            "_bucket", "_hub", "_row", (2 * F.col("_apart") / (F.col("_both") + F.col("_apart"))).alias("_far"), "_near"
         )
         gap = far.where("not _near").groupBy("_bucket").agg(F.min("_far").alias("_gap"))
         left = (
@@ -323,12 +390,15 @@ def _links(entries: DataFrame, texts: DataFrame, size: int, num: int, den: int)
         if not pairs:
             return components
         left = written(left.join(hubs.select("_bucket"), "_bucket"), "open-entries")
-        if pairs <= allowed or (last is not None and 2 * pairs > last):
+        if pairs <= allowed:
+            rest = _listed_pairs(left)
+            break
+        if last is not None and 2 * pairs > last:
+            rest = _pairs_by_differences(left, named, size, num, den)
             break
         entries, hubs, last = left.select("_bucket", "_row"), hubs.select("_bucket", "_hub"), pairs
-    rest = written(_pairs_by_differences(left, texts, size, num, den), "rest")
-    seen = _compare(rest, texts, size)
-    return connected_components(edges.unionByName(seen.where(near).select(*ends)))
+    seen = _judged(written(rest, "rest"), named, size, num, den)
+    return connected_components(edges.unionByName(seen.where("_near").select(*ends)))
 
 
 def circulant_minhash(
@@ -355,7 +425,8 @@ def circulant_minhash(
     )
     schema = T.StructType([
         *source.schema.fields, T.StructField("_row", T.LongType()), T.StructField("n_shingles", T.LongType()),
-        T.StructField("_node", T.BinaryType()), T.StructField("_bands", T.ArrayType(T.LongType())),
+        T.StructField("_node", T.BinaryType()), T.StructField("_sketch", T.BinaryType()),
+        T.StructField("_bands", T.ArrayType(T.LongType())),
     ])
     named = written(source.mapInArrow(_named(size, bands, rows), schema), "minhash-named")
     classes = written(
@@ -374,10 +445,7 @@ def circulant_minhash(
     shared = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_bucket")
     with working_tables() as made:
         entries = written(bucketed.join(shared, "_bucket"), "bucket-entries")
-        texts = written(
-            named.select("_row", "_text").join(entries.select("_row").distinct(), "_row"), "bucket-texts"
-        )
-        linked = _links(entries, texts, size, num, den)
+        linked = _links(entries, named, size, num, den)
     components = written(linked, "minhash-components")
     drop_tables(docs.sparkSession, made)
     placed = classes.join(
@@ -386,7 +454,7 @@ def circulant_minhash(
     least = placed.groupBy("component").agg(F.min("_least").alias("component_id"))
     # copies of a set meet their answer by its fingerprint; rows without one are answered alone
     answer = placed.join(least, "component").select("_node", "component_id")
-    held = named.drop("_bands", *([] if text in carry else ["_text"]))
+    held = named.drop("_bands", "_sketch", *([] if text in carry else ["_text"]))
     told = held.where(F.col("_node").isNotNull()).join(answer, "_node").unionByName(
         held.where(F.col("_node").isNull()).withColumn("component_id", F.col("_carried._id"))
     )

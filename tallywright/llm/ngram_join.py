@@ -13,7 +13,7 @@ out, and still has a signature in common with each similar set; only sets with m
 use theirs, and meet each other there.
 
 The sets that share signatures with the same least set are a bucket.  Buckets are compared
-on full sets with hubs in place of pairs (``circulant_minhash``, steps 1 to 4), so that a
+with hubs in place of pairs (``circulant_minhash``, steps 1 to 4), so that a
 group of near copies costs its size.  No link is lost: all follows from the definition, with
 no cap and no chance but equal 64-bit hashes.
 
@@ -39,14 +39,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywright.llm.circulant_minhash import WordHashes, shingle_sets
+from tallywright.llm.circulant_minhash import WordHashes, shingle_sets, sketch
 from tallywright.llm.circulant_minhash import _links as links_in_buckets
 from tallywright.llm.common import drop_tables, lots, unclashed, working_tables, written
 
 #: Set fingerprints that a task remembers; it forgets them all beyond.
 CACHED = 100_000
-#: Row numbers that are sent to the executors whole.
-BROADCAST_ROWS = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -134,7 +132,7 @@ def _signed(size: int, num: int, den: int, sub: int):
 
 
 def _named(size: int):
-    """Row number, set size, fingerprint, and whether the task meets the set first (a head)."""
+    """Row number, set size, fingerprint, whether the task meets the set first (a head), and heads' sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, seen, known = TaskContext.get().partitionId() << 33, set(), WordHashes()
@@ -156,19 +154,15 @@ def _named(size: int):
                     pa.array(np.arange(row, row + len(sets)), pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()),
                     pa.array(heads, pa.bool_()),
+                    pa.array([sketch(s) if head else None for s, head in zip(sets, heads)], pa.binary()),
                 ],
-                names=["_carried", "_text", "_row", "n_shingles", "_node", "_head"],
+                names=["_carried", "_text", "_row", "n_shingles", "_node", "_head", "_sketch"],
             )
             row += len(sets)
 
     return run
 
 
-def _few(rows: DataFrame) -> DataFrame:
-    """Marked for broadcasting where its counted rows are few; else Spark shuffles it."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-
-
 def _components(named: DataFrame, classes: DataFrame, size: int, num: int, den: int, sub: int) -> DataFrame:
     """(node, component) of the classes that have a link."""
     same = Window.partitionBy("_signature")
@@ -189,14 +183,7 @@ def _components(named: DataFrame, classes: DataFrame, size: int, num: int, den:
     for name in ("_row", "_bucket"):
         twin = twins.select(F.col("_row").alias(name), F.col("_class").alias("_to"))
         shared = shared.join(twin, name, "left").withColumn(name, F.coalesce("_to", name)).drop("_to")
-    shared = written(shared.distinct(), "shared-signatures")
-    members = written(
-        # a bucket of one class has no link to find
-        shared.where("_row <> _bucket").select(F.explode(F.array("_row", "_bucket")).alias("_row")).distinct(),
-        "bucket-members",
-    )
-    texts = written(named.select("_row", "_text").join(_few(members), "_row"), "bucket-texts")
-    return links_in_buckets(shared, texts, size, num, den)
+    return links_in_buckets(written(shared.distinct(), "shared-signatures"), named, size, num, den)
 
 
 def ngram_jaccard_join(
@@ -224,6 +211,7 @@ def ngram_jaccard_join(
     schema = T.StructType([
         *source.schema.fields, T.StructField("_row", T.LongType()), T.StructField("n_shingles", T.LongType()),
         T.StructField("_node", T.BinaryType()), T.StructField("_head", T.BooleanType()),
+        T.StructField("_sketch", T.BinaryType()),
     ])
     named = written(source.mapInArrow(_named(size), schema), "named-sets")
     classes = written(

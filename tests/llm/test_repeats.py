@@ -17,6 +17,7 @@ import __spark_entry__ as entry_module
 from tallywright.llm import circulant_minhash as minhash
 from tallywright.llm.circulant_minhash import circulant_minhash
 from tallywright.llm.fill_in_middle import fill_in_middle, restored
+from tallywright.llm.ngram_join import ngram_jaccard_join
 from tallywright.llm.periodic_runs import Grammar, collapsed_lot, periodic_runs
 from tallywright.llm.queries import with_repeats
 from tests.llm.test_groups import brute, near_copies
@@ -117,6 +118,28 @@ def test_sets_told_apart_by_their_differences_only(spark, monkeypatch):
     assert tried
 
 
+@pytest.mark.parametrize("join", [circulant_minhash, ngram_jaccard_join])
+def test_texts_are_fetched_only_where_sketches_allow_a_link(spark, monkeypatch, join):
+    compared = []
+    plain = minhash._compare
+    monkeypatch.setattr(minhash, "_compare", lambda *a: compared.append(a[0].count()) or plain(*a))
+    common = " ".join(f"c{i}" for i in range(150))
+    rows = [(i, common + "".join(f" own{i}-{j}" for j in range(50))) for i in range(40)]
+    got = join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # three fifths alike: they share buckets, and none is linked
+    assert compared and sum(compared) == 0
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, i) for i in range(40)}
+
+
+def test_sketches_differ_by_no_more_than_their_sets():
+    rng = np.random.default_rng(8)
+    for n, apart in ((0, 5), (300, 1), (300, 40), (5000, 700), (200_000, 9000)):
+        numbers = np.unique(rng.integers(0, 1 << 63, n + apart, dtype=np.uint64))
+        one, other = numbers[: n + apart // 2], np.concatenate([numbers[:n], numbers[n + apart // 2 :]])
+        told = [np.frombuffer(minhash.sketch(s), np.uint8).astype(int) for s in (one, other)]
+        assert np.abs(told[0] - told[1]).sum() <= len(np.setxor1d(one, other))
+
+
 def test_buckets_full_of_strangers(spark):
     rows = near_copies(5, 120)
     df = spark.createDataFrame(rows, "doc_id long, text string")
