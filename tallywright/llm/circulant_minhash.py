@@ -20,9 +20,10 @@ fetched only for pairs that may be linked, to be compared on full sets:
 3. Buckets that are left get a hub of their smallest component, and so on while they have
    more pairs of different components than there were entries or four times the rows, and a
    round halves these.
-4. If the pairs that are left are no more than that, they are compared.  Otherwise the
-   sets compared with one hub meet in the elements by which they differ from it: linked
-   ones share one of the rarest, and pairs that do are compared.
+4. If the pairs that are left are no more than that, they are compared.  Otherwise strangers
+   share buckets by a common passage.  Their sets go on to buckets of their rarest elements,
+   of which linked ones share one, through the same rounds; of pairs that are left then,
+   those are compared that can be linked by the places of what they share.
 
 Equal sets are one set before this: within a task while reading, across tasks by a 128-bit
 fingerprint.  Shingles are compared by 64-bit hashes.
@@ -35,7 +36,7 @@ count whole.  Of other columns only those named in ``carry`` come along, and a r
 name one of them has gets underscores before it.
 
 Limit: sets of one bucket that are close to a link but not linked, like a family whose
-members are three quarters alike, are compared as far as they share rare differences.
+members are three quarters alike, are compared as far as they share rare elements.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywright.llm.common import drop_tables, few, lots, unclashed, working_tables, written
+from tallywright.llm.common import BROADCAST_ROWS, drop_tables, few, lots, unclashed, working_tables, written
 from tallywright.llm.components import connected_components
 
 BANDS, ROWS = 24, 5
@@ -65,6 +66,10 @@ CELLS = 256
 MEMBERS_PER_COPY = 500
 #: Pairs that may be listed at the end, by rows.
 LISTED_PER_ROW = 4
+#: Of sets in open buckets one in so many, and no fewer sets than that, tell which elements are common.
+TOLD_BY, LEAST_TOLD = 8, 4000
+#: Elements that are known as common; others count as rare, which costs time but no link.
+COMMON = 100_000
 
 _U64 = np.uint64
 
@@ -204,8 +209,8 @@ def _named(size: int, bands: int, rows: int):
     return run
 
 
-def _against_hubs(size: int, name: str, kind: pa.DataType, result):
-    """A column of what ``result`` makes of each member's set and its hub's."""
+def _differences(size: int):
+    """Sizes of each member's set and its hub's, added up, and by how many elements they differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hubs, known = {}, WordHashes()
@@ -217,27 +222,53 @@ def _against_hubs(size: int, name: str, kind: pa.DataType, result):
             hub_texts = batch.column("_hub_text").cast(pa.binary())
             hubs.update(zip(firsts, shingle_sets([hub_texts[at].as_py() for at in firsts.values()], size, known)))
             own = shingle_sets(batch.column("_text").cast(pa.binary()).to_pylist(), size, known)
+            both = [len(hubs[hub]) + len(s) for hub, s in zip(names, own)]
+            apart = [len(np.setxor1d(hubs[hub], s, assume_unique=True)) for hub, s in zip(names, own)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_hub"), batch.column("_row"), batch.column("_component"),
-                    pa.array([len(s) for s in own], pa.int64()),
-                    pa.array([result(hubs[hub], s) for hub, s in zip(names, own)], kind),
-                ],
-                names=["_hub", "_row", "_component", "_n", name],
+                [batch.column("_hub"), batch.column("_row"), pa.array(both, pa.int64()), pa.array(apart, pa.int64())],
+                names=["_hub", "_row", "_both", "_apart"],
             )
 
     return run
 
 
-def _difference(hub: np.ndarray, own: np.ndarray) -> np.ndarray:
-    return np.setxor1d(hub, own, assume_unique=True).view(np.int64)
+def _elements(size: int):
+    """All elements of each set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in lots(batches, "_text"):
+            sets = shingle_sets(batch.column("_text").cast(pa.binary()).to_pylist(), size, known)
+            found = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([found], names=["_elements"])
 
+    return run
 
-def _apart(hub: np.ndarray, own: np.ndarray) -> dict[str, int]:
-    return {"both": len(hub) + len(own), "apart": len(np.setxor1d(hub, own, assume_unique=True))}
 
+def _rarest(size: int, num: int, den: int, common: np.ndarray, times: np.ndarray):
+    """The first elements of each set, rare ones before common ones: linked sets have their first common one there.
 
-APART = pa.struct([("both", pa.int64()), ("apart", pa.int64())])
+    ``common`` are sorted elements, ``times`` how often each was seen.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in lots(batches, "_text"):
+            found = []
+            for own in shingle_sets(batch.column("_text").cast(pa.binary()).to_pylist(), size, known):
+                seen = np.zeros(len(own), dtype=np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+                    seen[common[at] == own] = times[at[common[at] == own]]
+                # elements are sorted: a stable sort orders equally frequent ones by number
+                first = np.argsort(seen, kind="stable")[: len(own) * (den - num) // den + 1]
+                found.append(own[first].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_row"), batch.column("_component"), batch.column("_n"), pa.array(found, pa.list_(pa.int64()))],
+                names=["_row", "_component", "_n", "_elements"],
+            )
+
+    return run
 
 
 def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,10 +309,9 @@ def _texts(named: DataFrame, *rows: DataFrame) -> DataFrame:
 def _compare(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """Distinct (_hub, _row) with both sizes added up and by how many elements the sets differ, as a table."""
     return written(
-        _with_hubs(pairs.withColumn("_component", F.lit(None).cast("long")), texts).mapInArrow(
-            _against_hubs(size, "_sizes", APART, _apart),
-            "_hub long, _row long, _component long, _n long, _sizes struct<both: long, apart: long>",
-        ).select("_hub", "_row", F.col("_sizes.both").alias("_both"), F.col("_sizes.apart").alias("_apart")),
+        _with_hubs(pairs, texts).select("_hub", "_row", "_text", "_hub_text").mapInArrow(
+            _differences(size), "_hub long, _row long, _both long, _apart long"
+        ),
         "compared",
     )
 
@@ -303,44 +333,68 @@ def _judged(pairs: DataFrame, named: DataFrame, size: int, num: int, den: int) -
 
 
 def _pairs_by_differences(left: DataFrame, named: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Pairs of different components that can be linked, among the sets compared with one hub.
-
-    With D(x) the symmetric difference of x and the hub, x and y differ in as many elements as
-    D(x) and D(y); linked ones in m = (den - num) (|x| + |y|) / (den + num) at most.  So they
-    share t = (|D(x)| + |D(y)| - m) / 2 elements of D, and with these in one order, the rarest
-    of the hub's group first, the first of them is among the first |D(x)| - t + 1 of
-    D(x) and |D(y)| - t + 1 of D(y).  Where D(x) and D(y) have nothing in common, both sets
-    are linked to the hub.
+    """Entries (_bucket, _row, _at, _n) of buckets that hold each pair of ``left`` that can be linked.
+
+    With all elements in one order, let e be the first that the linked x and y share.  Those of
+    x before it are not in y, and x has no more than (den - num) |x| / den of them: e is
+    among the first of both sets.  Rare elements come first, so that strangers with a
+    passage in common share none of these.  Elements of the same sets make one bucket, in
+    which ``_at`` is the first one's place; any order is right, so frequencies may be estimated.
     """
-    apart = written(
-        _with_hubs(
-            left.select("_hub", "_row", "_component").distinct(), _texts(named, left.select("_hub"), left.select("_row"))
-        ).mapInArrow(
-            _against_hubs(size, "_d", pa.list_(pa.int64()), _difference),
-            "_hub long, _row long, _component long, _n long, _d array<long>",
-        ),
-        "differences",
-    )
-    elements = apart.select(
-        "_hub", "_row", "_component", "_n", F.size("_d").alias("_size"), F.explode("_d").alias("_element")
+    rows = written(left.select("_row", "_component").distinct(), "open-rows")
+    many = rows.count()
+    texts = named.select("_row", "_text", F.col("n_shingles").alias("_n"))
+    open_texts = texts.join(F.broadcast(rows) if many <= BROADCAST_ROWS else rows, "_row")
+    one_in = max(1, min(TOLD_BY, many // LEAST_TOLD))
+    told = written(
+        open_texts.where(F.pmod(F.xxhash64("_row"), F.lit(one_in)) == 0).select("_text")
+        .mapInArrow(_elements(size), "_elements array<long>")
+        .select(F.explode("_elements").alias("element")).groupBy("element").agg(F.count(F.lit(1)).alias("times"))
+        .where("times > 1").withColumn("level", F.floor(F.log2("times"))),
+        "told-elements",
     )
-    often = elements.groupBy("_hub", "_element").agg(F.count(F.lit(1)).alias("_times"))
-    rarest = Window.partitionBy("_hub", "_row").orderBy("_times", "_element")
-    # no partner has more than den |x| / num elements: the longest prefix that any pair asks for
-    most = F.floor((den - num) * F.col("_n") / num) + 1
-    firsts = written(
-        elements.join(often, ["_hub", "_element"]).withColumn("_at", F.row_number().over(rarest))
-        .where((F.col("_at") <= most) & (F.col("_times") > 1)),
-        "rarest-differences",
+    held, least = 0, None
+    for level in sorted(told.groupBy("level").count().collect(), reverse=True):
+        held += level["count"]
+        if held > COMMON:
+            break
+        least = level["level"]
+    often = told.where(F.col("level") >= F.lit(least)).select("element", "times").toPandas()
+    common = often["element"].to_numpy(np.int64).view(_U64)
+    by_number = np.argsort(common)
+    times = often["times"].to_numpy(np.int64)[by_number]
+    group = Window.partitionBy("_element")
+    return written(
+        open_texts.select("_row", "_component", "_n", "_text").mapInArrow(
+            _rarest(size, num, den, common[by_number], times),
+            "_row long, _component long, _n long, _elements array<long>",
+        )
+        .select("_row", "_component", "_n", F.posexplode("_elements").alias("_at", "_element"))
+        .withColumns({
+            "_least": F.min("_row").over(group), "_rows": F.count(F.lit(1)).over(group),
+            "_mixed": F.min("_component").over(group) < F.max("_component").over(group),
+            "_all": F.bit_xor(F.xxhash64("_row")).over(group),
+        })
+        .where("_mixed")
+        .groupBy(F.xxhash64("_least", "_rows", "_all").alias("_bucket"), "_row")
+        .agg(F.min("_at").cast("long").alias("_at"), F.first("_n").alias("_n")),
+        "rarest-elements",
     )
-    x, y, c = firsts.alias("x"), firsts.alias("y"), F.col
-    most_apart = F.floor((den - num) * (c("x._n") + c("y._n")) / (den + num))
-    outside = lambda a, b: (c(f"{a}._size") - c(f"{b}._size") + most_apart) / 2
+
+
+def _placed_pairs(left: DataFrame, rare: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of one bucket of ``rare`` and of different components that can be linked by their places there.
+
+    x and y share num (|x| + |y|) / (num + den) elements or more, so that no more than
+    (den |x| - num |y|) / (num + den) of x come before the first that they share.
+    """
+    placed = written(left.join(rare, ["_bucket", "_row"]).select("_bucket", "_row", "_component", "_at", "_n"), "placed")
+    x, y, c = placed.alias("x"), placed.alias("y"), F.col
+    within = lambda a, b: (num + den) * c(f"{a}._at") <= den * c(f"{a}._n") - num * c(f"{b}._n")
     return x.join(
         y,
-        (c("x._hub") == c("y._hub")) & (c("x._element") == c("y._element"))
-        & (c("x._row") < c("y._row")) & (c("x._component") != c("y._component"))
-        & (c("x._at") <= outside("x", "y") + 1) & (c("y._at") <= outside("y", "x") + 1),
+        (c("x._bucket") == c("y._bucket")) & (c("x._row") < c("y._row")) & (c("x._component") != c("y._component"))
+        & within("x", "y") & within("y", "x"),
     ).select(c("x._row").alias("_hub"), c("y._row").alias("_row")).distinct()
 
 
@@ -352,6 +406,13 @@ def _listed_pairs(left: DataFrame) -> DataFrame:
     ).select(c("x._row").alias("_hub"), c("y._row").alias("_row")).distinct()
 
 
+def _least_hubs(entries: DataFrame) -> tuple[DataFrame, int]:
+    """Each bucket's least row as its hub, and how many pairs the buckets hold."""
+    hubs = entries.groupBy("_bucket").agg(F.min("_row").alias("_hub"), F.count(F.lit(1)).alias("_n"))
+    pairs = hubs.agg(F.sum(F.col("_n") * (F.col("_n") - 1) / 2)).first()[0]
+    return hubs.select("_bucket", "_hub"), pairs or 0
+
+
 def _links(entries: DataFrame, named: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Components (node, component) of the rows of buckets; entries are (_bucket, _row).
 
@@ -359,8 +420,8 @@ def _links(entries: DataFrame, named: DataFrame, size: int, num: int, den: int)
     """
     reach = (den - num) / den + 1e-9
     ends = F.col("_hub").alias("a"), F.col("_row").alias("b")
-    hubs = entries.groupBy("_bucket").agg(F.min("_row").alias("_hub"))
-    allowed, last, edges = max(entries.count(), LISTED_PER_ROW * named.count()), None, None
+    allowed, rare, edges = max(entries.count(), LISTED_PER_ROW * named.count()), None, None
+    hubs, last = _least_hubs(entries)
     while True:
         placed = entries.join(hubs, "_bucket").where("_row <> _hub")
         seen = _judged(placed.select("_hub", "_row").distinct(), named, size, num, den)
@@ -390,12 +451,19 @@ def _links(entries: DataFrame, named: DataFrame, size: int, num: int, den: int)
         if not pairs:
             return components
         left = written(left.join(hubs.select("_bucket"), "_bucket"), "open-entries")
-        if pairs <= allowed:
+        if rare is None and pairs <= allowed:
             rest = _listed_pairs(left)
             break
-        if last is not None and 2 * pairs > last:
-            rest = _pairs_by_differences(left, named, size, num, den)
-            break
+        if pairs <= allowed or 2 * pairs > last:
+            if rare is not None:
+                rest = _placed_pairs(left, rare, num, den)
+                break
+            rare = _pairs_by_differences(left, named, size, num, den)
+            entries = rare.select("_bucket", "_row")
+            hubs, last = _least_hubs(entries)
+            if not last:
+                return components
+            continue
         entries, hubs, last = left.select("_bucket", "_row"), hubs.select("_bucket", "_hub"), pairs
     seen = _judged(written(rest, "rest"), named, size, num, den)
     return connected_components(edges.unionByName(seen.where("_near").select(*ends)))

@@ -10,6 +10,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +132,65 @@ def test_texts_are_fetched_only_where_sketches_allow_a_link(spark, monkeypatch,
     assert {(r.doc_id, r.component_id) for r in got} == {(i, i) for i in range(40)}
 
 
+def with_a_passage(n, join):
+    """Strangers with a passage in common, every tenth beside a copy that has one word changed or two."""
+    rng = random.Random(3)
+    # so much of the passage that strangers share buckets, and are no links
+    shared, own = (150, 40) if join is circulant_minhash else (150, 35)
+    common = [f"c{i}" for i in range(shared)]
+    rows = []
+    for i in range(n):
+        words = common + [f"own{i}-{j}" for j in range(own)]
+        rows.append((len(rows), " ".join(words)))
+        if i % 10 == 0:
+            for at in rng.sample(range(len(words)), rng.choice((1, 2))):
+                words[at] = f"new{i}-{at}"
+            rows.append((len(rows), " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize(("join", "num", "den"), [(circulant_minhash, 85, 100), (ngram_jaccard_join, 8, 10)])
+@pytest.mark.parametrize("common", [100_000, 20])
+def test_strangers_with_a_passage_in_common_part_by_their_rarest_elements(spark, monkeypatch, join, num, den, common):
+    fetched, tried = [], []
+    plain, rarest = minhash._with_hubs, minhash._pairs_by_differences
+
+    def counted(pairs, sets):
+        if "_text" in sets.columns:
+            fetched.append(pairs.count())
+        return plain(pairs, sets)
+
+    monkeypatch.setattr(minhash, "_with_hubs", counted)
+    monkeypatch.setattr(minhash, "_pairs_by_differences", lambda *a: tried.append(1) or rarest(*a))
+    monkeypatch.setattr(minhash, "COMMON", common, raising=False)
+    rows = with_a_passage(400, join)
+    got = join(spark.createDataFrame(rows, "doc_id long, text string"), threshold=(num, den)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 5, num, den)
+    # whole texts meet for the forty copies, not for each stranger and its hub
+    assert tried and sum(fetched) < 200
+
+
+def test_first_elements_of_linked_sets_meet():
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    common = minhash.shingle_sets([" ".join(words[:9]).encode()], 1, minhash.WordHashes())[0]
+    for num, den in ((85, 100), (8, 10), (9, 10)):
+        run = minhash._rarest(1, num, den, common, np.arange(2, 11))
+        texts = [" ".join(rng.sample(words, rng.randint(1, 60))) for _ in range(120)]
+        texts += [" ".join(t.split()[rng.randint(0, 5) :]) or "w1" for t in texts]
+        n = [len(set(t.split())) for t in texts]
+        rows = list(range(len(texts)))
+        batch = pa.RecordBatch.from_pydict({"_row": rows, "_component": rows, "_n": n, "_text": texts})
+        firsts = [e for out in run(iter([batch])) for e in out.column("_elements").to_pylist()]
+        sets = [set(t.split()) for t in texts]
+        for x in range(len(texts)):
+            for y in range(x):
+                if den * len(sets[x] & sets[y]) >= num * len(sets[x] | sets[y]):
+                    at = next((i, firsts[y].index(e)) for i, e in enumerate(firsts[x]) if e in firsts[y])
+                    assert (num + den) * at[0] <= den * n[x] - num * n[y]
+                    assert (num + den) * at[1] <= den * n[y] - num * n[x]
+
+
 def test_sketches_differ_by_no_more_than_their_sets():
     rng = np.random.default_rng(8)
     for n, apart in ((0, 5), (300, 1), (300, 40), (5000, 700), (200_000, 9000)):
