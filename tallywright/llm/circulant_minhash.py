@@ -320,7 +320,8 @@ def _judged(pairs: DataFrame, named: DataFrame, size: int, num: int, den: int) -
     """Distinct (_hub, _row) with both sizes added up, by how many elements the sets differ and
     whether they are linked (``_near``); those whose sketches rule that out may differ by more."""
     near = (den + num) * F.col("_apart") <= (den - num) * F.col("_both")
-    sketches = named.where(F.col("_sketch").isNotNull()).select("_row", "n_shingles", "_sketch")
+    asked = written(pairs.select("_hub").union(pairs.select("_row")).toDF("_row").distinct(), "judged-rows")
+    sketches = named.where(F.col("_sketch").isNotNull()).select("_row", "n_shingles", "_sketch").join(few(asked), "_row")
     bounds = written(
         _with_hubs(pairs, sketches)
         .select("_hub", "_row", "_sketch", "_hub_sketch", (F.col("n_shingles") + F.col("_hubn_shingles")).alias("_both"))
@@ -424,7 +425,7 @@ def _links(entries: DataFrame, named: DataFrame, size: int, num: int, den: int)
     hubs, last = _least_hubs(entries)
     while True:
         placed = entries.join(hubs, "_bucket").where("_row <> _hub")
-        seen = _judged(placed.select("_hub", "_row").distinct(), named, size, num, den)
+        seen = _judged(written(placed.select("_hub", "_row").distinct(), "hub-pairs"), named, size, num, den)
         found = seen.where("_near").select(*ends)
         edges = written(found if edges is None else edges.unionByName(found), "links")
         components = connected_components(edges)
