@@ -41,10 +41,13 @@ from pyspark.sql import types as T
 
 from tallywright.llm.circulant_minhash import WordHashes, shingle_sets, sketch
 from tallywright.llm.circulant_minhash import _links as links_in_buckets
-from tallywright.llm.common import drop_tables, lots, unclashed, working_tables, written
+from tallywright.llm.common import drop_tables, few, lots, unclashed, working_tables, written
 
 #: Set fingerprints that a task remembers; it forgets them all beyond.
 CACHED = 100_000
+#: Elements, counted once for each of a set's two bands, above which signatures are dealt in several passes
+#: by size, so that those of one pass are on disk at a time, and how many passes at most: each reads all texts.
+PASS_ELEMENTS, MOST_PASSES = 20_000_000, 6
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -84,8 +87,10 @@ def parts_of(top: int, k: int, sub: int) -> tuple[int, int]:
     return needed + spare, spare
 
 
-def signatures(elements: np.ndarray, num: int, den: int, sub: int = 3) -> np.ndarray:
-    """PartEnum signatures of a set for its own size band and the next one.
+def signatures(
+    elements: np.ndarray, num: int, den: int, sub: int = 3, first_band: int = 0, last_band: int = 1 << 30
+) -> np.ndarray:
+    """PartEnum signatures of a set for its own size band and the next one, as far as these are asked for.
 
     48 bits each: chance agreements only make buckets, whose links are verified.
     """
@@ -95,6 +100,8 @@ def signatures(elements: np.ndarray, num: int, den: int, sub: int = 3) -> np.nda
     content = mix(elements ^ np.uint64(0xA0761D6478BD642F))
     found = []
     for band in (own, own + 1):
+        if not first_band <= band <= last_band:
+            continue
         k = int(most[band])
         if k == 0:
             parts = content.sum(dtype=np.uint64).reshape(1, 1)
@@ -113,17 +120,39 @@ def signatures(elements: np.ndarray, num: int, den: int, sub: int = 3) -> np.nda
                 told = np.ones(first * sub, dtype=bool)
         label = mix(np.arange(parts.size, dtype=np.uint64) + np.uint64(band << 40))
         found.append(mix(parts.reshape(-1) + label)[told])
+    if not found:
+        return np.empty(0, dtype=np.int64)
     return (np.concatenate(found) >> np.uint64(16)).view(np.int64)
 
 
-def _signed(size: int, num: int, den: int, sub: int):
-    """Row and signatures of each head."""
+def band_ranges(elements: dict[int, int], num: int, den: int) -> list[tuple[int, int]]:
+    """First and last band of each pass over the signatures; ``elements`` has how many there are by set size.
+
+    Passes hold about equally many elements of whole bands, a set's counting in its own band and in the next.
+    """
+    sizes = np.array(sorted(elements), dtype=np.int64)
+    own = np.searchsorted(bands(num, den)[0], sizes)
+    held = np.zeros(int(own.max(initial=0)) + 2, dtype=np.int64)
+    for step in (0, 1):
+        np.add.at(held, own + step, [elements[n] for n in sizes.tolist()])
+    passes = min(MOST_PASSES, 1 + int(held.sum()) // PASS_ELEMENTS)
+    # the pass of each band by the middle of its elements
+    dealt = ((np.cumsum(held) - held / 2) * passes / max(int(held.sum()), 1)).astype(np.int64).clip(0, passes - 1)
+    filled = np.flatnonzero(held)
+    return [
+        (int(at.min()), int(at.max()))
+        for number in range(passes) if len(at := filled[dealt[filled] == number])
+    ]
+
+
+def _signed(size: int, num: int, den: int, sub: int, first_band: int, last_band: int):
+    """Row and signatures for the bands asked for of each head."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in lots(batches, "_text"):
             sets = shingle_sets(batch.column("_text").cast(pa.binary()).to_pylist(), size, known)
-            found = [signatures(s, num, den, sub) for s in sets]
+            found = [signatures(s, num, den, sub, first_band, last_band) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row"), pa.array(found, pa.list_(pa.int64()))], names=["_row", "_signatures"]
             )
@@ -172,14 +201,23 @@ def _components(named: DataFrame, classes: DataFrame, size: int, num: int, den:
         .where("_row <> _class").select("_row", "_class"),
         "twins",
     )
-    shared = (
-        # signatures are many times the rows: they go straight into the shuffle, never to a table
-        heads.select("_row", "_text")
-        .mapInArrow(_signed(size, num, den, sub), "_row long, _signatures array<long>")
-        .select("_row", F.explode("_signatures").alias("_signature"))
-        .withColumns({"_bucket": F.min("_row").over(same), "_sets": F.count(F.lit(1)).over(same)})
-        .where("_sets > 1").select("_bucket", "_row").distinct()
-    )
+    # at most as many sizes as the root of twice all elements
+    elements = {n: n * sets for n, sets in heads.groupBy("n_shingles").count().collect()}
+    tops, shared = bands(num, den)[0], None
+    for first, last in band_ranges(elements, num, den):
+        smallest = int(tops[first - 2]) + 1 if first > 1 else 1
+        found = written(
+            # signatures are many times the rows: they go straight into the shuffle, never to a table
+            heads.where(F.col("n_shingles").between(smallest, int(tops[last]))).select("_row", "_text")
+            .mapInArrow(_signed(size, num, den, sub, first, last), "_row long, _signatures array<long>")
+            .select("_row", F.explode("_signatures").alias("_signature"))
+            .withColumns({"_bucket": F.min("_row").over(same), "_sets": F.count(F.lit(1)).over(same)})
+            .where("_sets > 1").select("_bucket", "_row").distinct(),
+            "shared-in-pass",
+        )
+        shared = found if shared is None else shared.unionByName(found)
+    if shared is None:
+        shared = heads.select(F.col("_row").alias("_bucket"), "_row").limit(0)
     for name in ("_row", "_bucket"):
         twin = twins.select(F.col("_row").alias(name), F.col("_class").alias("_to"))
         shared = shared.join(twin, name, "left").withColumn(name, F.coalesce("_to", name)).drop("_to")
@@ -218,7 +256,7 @@ def ngram_jaccard_join(
         named.where(F.col("_node").isNotNull()).groupBy("_node").agg(
             # a class is named by the first row that is a head in its task
             F.min(F.when(F.col("_head"), F.col("_row"))).alias("_class"),
-            F.min("_carried._id").alias("_least_id"),
+            F.count(F.lit(1)).alias("_rows"), F.min("_carried._id").alias("_least_id"),
             F.min(F.struct(F.col("_carried._id").alias("id"), F.col("_row").alias("row"))).alias("_first"),
         ),
         "classes",
@@ -231,18 +269,21 @@ def ngram_jaccard_join(
         "component", F.coalesce("component", "_class")
     )
     groups = joined.groupBy("component").agg(
-        F.min("_least_id").alias("component_id"), F.min("_first").alias("_first")
-    )
-    answer = joined.select("_node", "component").join(groups, "component").drop("component")
-    rows = named.select("_carried", *(["_text"] if text in carry else []), "_row", "n_shingles", "_node")
-    # rows without a set are answered alone, away from the join
-    told = rows.where(F.col("_node").isNotNull()).join(answer, "_node").unionByName(
-        rows.where(F.col("_node").isNull()), allowMissingColumns=True
+        F.min("_least_id").alias("component_id"), F.min("_first").alias("_first"), F.sum("_rows").alias("_rows")
+    ).where("_rows > 1")
+    answer = joined.select("_node", "component").join(groups, "component").select("_node", "component_id", "_first")
+    answers = written(
+        named.select("_row", "_node").join(answer, "_node")
+        .select("_row", "component_id", (F.col("_row") == F.col("_first.row")).alias("_kept")),
+        "answers",
     )
+    # rows alone in their component, or without a set, are no part of the answers: whole rows stay where they are
+    rows = named.select("_carried", *(["_text"] if text in carry else []), "_row", "n_shingles")
+    told = rows.join(few(answers), "_row", "left")
     results = {
         "doc_id": F.col("_carried._id"), "n_shingles": F.col("n_shingles"),
-        "component_id": F.when(F.col("_node").isNull(), F.col("_carried._id")).otherwise(F.col("component_id")),
-        "kept": F.coalesce(F.col("_row") == F.col("_first.row"), F.lit(True)),
+        "component_id": F.when(F.col("_kept").isNull(), F.col("_carried._id")).otherwise(F.col("component_id")),
+        "kept": F.coalesce("_kept", F.lit(True)),
     }
     return told.select(
         *[(F.col("_text") if n == text else F.col("_carried._more")[n]).alias(n) for n in carry],
