@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import written
+from tallywright.llm.common import few, written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -15,17 +15,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     and is written to the shared folder.  Nodes without an edge do not appear.
     """
     near = edges.where("a <> b").select("a", "b")
-    near = written(near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    # both directions; an edge may repeat
+    near = written(near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     labels = written(near.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("component")), "labels")
     while True:
+        known = few(labels)
         lowest = (
-            near.join(labels.withColumnRenamed("node", "b"), "b")
+            near.join(known.withColumnRenamed("node", "b"), "b")
             .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("lowest"))
         )
-        lower = labels.join(lowest, "node").select(
-            "node", "component", F.least("component", "lowest").alias("next")
-        )
-        jump = lower.select(F.col("node").alias("next"), F.col("next").alias("beyond"))
+        lower = lowest.join(known, "node").select("node", "component", F.least("component", "lowest").alias("next"))
+        jump = known.select(F.col("node").alias("next"), F.col("component").alias("beyond"))
         moved = written(
             lower.join(jump, "next").select("node", "component", F.least("next", "beyond").alias("next")),
             "labels",
