@@ -64,6 +64,8 @@ CACHED_SETS = 100_000
 CELLS = 256
 #: Members of a hub for which what they are compared with gets another copy.
 MEMBERS_PER_COPY = 500
+#: Pairs above which texts are compared in several passes, and how many passes at most.
+PASS_PAIRS, MOST_PASSES = 20_000, 6
 #: Pairs that may be listed at the end, by rows.
 LISTED_PER_ROW = 4
 #: Of sets in open buckets one in so many, and no fewer sets than that, tell which elements are common.
@@ -290,38 +292,48 @@ def _with_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     these are dealt over several copies by the number of a hub's members."""
     own = [c for c in sets.columns if c != "_row"]
     copies = pairs.groupBy("_hub").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_COPY).alias("_copies"))
+    members = pairs.join(copies, "_hub").withColumn("_copy", F.pmod(F.xxhash64("_row"), "_copies")).drop("_copies")
+    if pairs.count() <= BROADCAST_ROWS:  # the sets then go through one shuffle, to their hubs, and not to the pairs first
+        members, copies = F.broadcast(members), F.broadcast(copies)
     hubs = sets.withColumnsRenamed({"_row": "_hub"} | {c: "_hub" + c for c in own}).join(copies, "_hub").withColumn(
         "_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))
     ).drop("_copies")
-    members = pairs.join(copies, "_hub").withColumn("_copy", F.pmod(F.xxhash64("_row"), "_copies")).drop("_copies")
-    return members.join(sets, "_row").join(hubs, ["_hub", "_copy"]).drop("_copy")
+    return sets.join(members, "_row").join(hubs, ["_hub", "_copy"]).drop("_copy")
 
 
-def _texts(named: DataFrame, *rows: DataFrame) -> DataFrame:
-    """A table of the texts of ``rows``, of one column each."""
-    asked = rows[0]
-    for more in rows[1:]:
-        asked = asked.union(more)
-    asked = written(asked.toDF("_row").distinct(), "asked-rows")
-    return written(named.select("_row", "_text").join(few(asked), "_row"), "asked-texts")
+def _asked(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of ``sets`` that are in a pair."""
+    rows = pairs.select("_hub").union(pairs.select("_row")).toDF("_row")
+    if pairs.count() <= BROADCAST_ROWS:
+        return sets.join(F.broadcast(rows), "_row", "left_semi")
+    return sets.join(few(written(rows.distinct(), "asked-rows")), "_row")
 
 
 def _compare(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """Distinct (_hub, _row) with both sizes added up and by how many elements the sets differ, as a table."""
-    return written(
-        _with_hubs(pairs, texts).select("_hub", "_row", "_text", "_hub_text").mapInArrow(
-            _differences(size), "_hub long, _row long, _both long, _apart long"
-        ),
-        "compared",
-    )
+    """Distinct (_hub, _row) with both sizes added up and by how many elements the sets differ, as a table.
+
+    Many pairs are dealt by hub over several passes, so that the texts of one pass are in a shuffle at a time.
+    """
+    passes, compared = min(MOST_PASSES, 1 + pairs.count() // PASS_PAIRS), None
+    for number in range(passes):
+        own = pairs.where(F.pmod(F.xxhash64("_hub"), F.lit(passes)) == number)
+        found = written(
+            _with_hubs(own, texts).select("_hub", "_row", "_text", "_hub_text").mapInArrow(
+                _differences(size), "_hub long, _row long, _both long, _apart long"
+            ),
+            "compared",
+        )
+        compared = found if compared is None else compared.unionByName(found)
+    return compared
 
 
 def _judged(pairs: DataFrame, named: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Distinct (_hub, _row) with both sizes added up, by how many elements the sets differ and
     whether they are linked (``_near``); those whose sketches rule that out may differ by more."""
     near = (den + num) * F.col("_apart") <= (den - num) * F.col("_both")
-    asked = written(pairs.select("_hub").union(pairs.select("_row")).toDF("_row").distinct(), "judged-rows")
-    sketches = named.where(F.col("_sketch").isNotNull()).select("_row", "n_shingles", "_sketch").join(few(asked), "_row")
+    sketches = named.where(F.col("_sketch").isNotNull()).select("_row", "n_shingles", "_sketch")
+    if pairs.count() > BROADCAST_ROWS:  # else only these rows are shuffled as it is
+        sketches = _asked(sketches, pairs)
     bounds = written(
         _with_hubs(pairs, sketches)
         .select("_hub", "_row", "_sketch", "_hub_sketch", (F.col("n_shingles") + F.col("_hubn_shingles")).alias("_both"))
@@ -329,7 +341,7 @@ def _judged(pairs: DataFrame, named: DataFrame, size: int, num: int, den: int) -
         "bounds",
     )
     maybe = bounds.where(near).select("_hub", "_row")
-    exact = _compare(maybe, _texts(named, maybe.select("_hub"), maybe.select("_row")), size)
+    exact = _compare(maybe, written(_asked(named.select("_row", "_text"), maybe), "asked-texts"), size)
     return bounds.where(~near).unionByName(exact).withColumn("_near", near)
 
 
@@ -409,7 +421,7 @@ def _listed_pairs(left: DataFrame) -> DataFrame:
 
 def _least_hubs(entries: DataFrame) -> tuple[DataFrame, int]:
     """Each bucket's least row as its hub, and how many pairs the buckets hold."""
-    hubs = entries.groupBy("_bucket").agg(F.min("_row").alias("_hub"), F.count(F.lit(1)).alias("_n"))
+    hubs = written(entries.groupBy("_bucket").agg(F.min("_row").alias("_hub"), F.count(F.lit(1)).alias("_n")), "least-hubs")
     pairs = hubs.agg(F.sum(F.col("_n") * (F.col("_n") - 1) / 2)).first()[0]
     return hubs.select("_bucket", "_hub"), pairs or 0
 
@@ -424,21 +436,24 @@ def _links(entries: DataFrame, named: DataFrame, size: int, num: int, den: int)
     allowed, rare, edges = max(entries.count(), LISTED_PER_ROW * named.count()), None, None
     hubs, last = _least_hubs(entries)
     while True:
-        placed = entries.join(hubs, "_bucket").where("_row <> _hub")
+        placed = entries.join(few(hubs), "_bucket").where("_row <> _hub")
         seen = _judged(written(placed.select("_hub", "_row").distinct(), "hub-pairs"), named, size, num, den)
         found = seen.where("_near").select(*ends)
         edges = written(found if edges is None else edges.unionByName(found), "links")
         components = connected_components(edges)
         # who may still have a link in the bucket
-        far = placed.select("_bucket", "_hub", "_row").join(seen, ["_hub", "_row"]).select(
+        distances = seen.select(
             # the distance, or less for sets that are not linked
-            "_bucket", "_hub", "_row", (2 * F.col("_apart") / (F.col("_both") + F.col("_apart"))).alias("_far"), "_near"
+            "_hub", "_row", (2 * F.col("_apart") / (F.col("_both") + F.col("_apart"))).alias("_far"), "_near"
         )
+        far = placed.select("_bucket", "_hub", "_row").join(few(distances), ["_hub", "_row"])
         gap = far.where("not _near").groupBy("_bucket").agg(F.min("_far").alias("_gap"))
-        left = (
-            far.join(gap, "_bucket").where(~F.col("_near") | (F.col("_far") >= F.col("_gap") - reach))
-            .join(components.select(F.col("node").alias("_row"), "component"), "_row", "left")
-            .select("_bucket", "_hub", "_row", "_far", F.coalesce("component", "_row").alias("_component"))
+        left = written(
+            far.join(F.broadcast(gap) if hubs.count() <= BROADCAST_ROWS else gap, "_bucket")
+            .where(~F.col("_near") | (F.col("_far") >= F.col("_gap") - reach))
+            .join(few(components.select(F.col("node").alias("_row"), "component")), "_row", "left")
+            .select("_bucket", "_hub", "_row", "_far", F.coalesce("component", "_row").alias("_component")),
+            "left-entries",
         )
         parts = left.groupBy("_bucket", "_component").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
         hubs = written(
@@ -451,7 +466,7 @@ def _links(entries: DataFrame, named: DataFrame, size: int, num: int, den: int)
         pairs = hubs.agg(F.sum((F.col("_all") * F.col("_all") - F.col("_squares")) / 2)).first()[0]
         if not pairs:
             return components
-        left = written(left.join(hubs.select("_bucket"), "_bucket"), "open-entries")
+        left = left.join(few(hubs.select("_bucket")), "_bucket")
         if rare is None and pairs <= allowed:
             rest = _listed_pairs(left)
             break
@@ -506,11 +521,12 @@ def circulant_minhash(
         ),
         "minhash-classes",
     )
-    firsts = classes.select(F.col("_class").alias("_row"))
-    bucketed = (
-        named.where(F.col("_bands").isNotNull()).select("_row", "_bands").join(firsts, "_row")
-        .select(F.explode("_bands").alias("_bucket"), "_row")
+    heads = named.where(F.col("_bands").isNotNull()).select("_row", "_node", "_bands")
+    twins = written(  # heads of one class in several tasks
+        heads.select("_row", "_node").join(classes.select("_node", "_class"), "_node").where("_row <> _class").select("_row"),
+        "minhash-twins",
     )
+    bucketed = heads.join(few(twins), "_row", "left_anti").select(F.explode("_bands").alias("_bucket"), "_row")
     shared = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_bucket")
     with working_tables() as made:
         entries = written(bucketed.join(shared, "_bucket"), "bucket-entries")
