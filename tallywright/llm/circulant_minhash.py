@@ -41,10 +41,12 @@ members are three quarters alike, are compared as far as they share rare element
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -62,6 +64,8 @@ CACHED_BYTES = 16 << 20
 CACHED_SETS = 100_000
 #: Counts in a sketch, a byte each.
 CELLS = 256
+#: Bytes of compressed texts whose sets a task compares together.
+PACKED_BYTES = 1 << 20
 #: Members of a hub for which what they are compared with gets another copy.
 MEMBERS_PER_COPY = 500
 #: Pairs above which texts are compared in several passes, and how many passes at most.
@@ -214,16 +218,19 @@ def _named(size: int, bands: int, rows: int):
 def _differences(size: int):
     """Sizes of each member's set and its hub's, added up, and by how many elements they differ."""
 
+    def sets_of(texts: pa.Array, known: WordHashes) -> list[np.ndarray]:
+        # one text at a time: packed ones do not tell how long they are
+        return [shingle_sets([zlib.decompress(text)], size, known)[0] for text in texts.to_pylist()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hubs, known = {}, WordHashes()
-        for batch in lots(lots(batches, "_hub_text"), "_text"):
+        for batch in lots(lots(batches, "_hub_text", PACKED_BYTES), "_text", PACKED_BYTES):
             names = batch.column("_hub").to_pylist()
             if len(hubs) > 200:
                 hubs.clear()
             firsts = {hub: at for at, hub in enumerate(names) if hub not in hubs}
-            hub_texts = batch.column("_hub_text").cast(pa.binary())
-            hubs.update(zip(firsts, shingle_sets([hub_texts[at].as_py() for at in firsts.values()], size, known)))
-            own = shingle_sets(batch.column("_text").cast(pa.binary()).to_pylist(), size, known)
+            hubs.update(zip(firsts, sets_of(batch.column("_hub_text").take(pa.array(firsts.values(), pa.int64())), known)))
+            own = sets_of(batch.column("_text"), known)
             both = [len(hubs[hub]) + len(s) for hub, s in zip(names, own)]
             apart = [len(np.setxor1d(hubs[hub], s, assume_unique=True)) for hub, s in zip(names, own)]
             yield pa.RecordBatch.from_arrays(
@@ -234,6 +241,14 @@ def _differences(size: int):
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their texts compressed one by one, as shuffles hardly compress them."""
+    for batch in lots(batches, "_text"):
+        texts = batch.column("_text").cast(pa.binary()).to_pylist()
+        packed = pa.array([zlib.compress(text, 1) for text in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("_row"), packed], names=["_row", "_text"])
+
+
 def _elements(size: int):
     """All elements of each set."""
 
@@ -282,7 +297,7 @@ def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         least = np.abs(counts(batch, "_sketch") - counts(batch, "_hub_sketch")).sum(axis=1)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_hub"), batch.column("_row"), batch.column("_both"), pa.array(least, pa.int64())],
+            [batch.column("_hub"), batch.column("_row"), pc.add(batch.column("_n"), batch.column("_hub_n")), pa.array(least, pa.int64())],
             names=["_hub", "_row", "_both", "_apart"],
         )
 
@@ -309,22 +324,21 @@ def _asked(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return sets.join(few(written(rows.distinct(), "asked-rows")), "_row")
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """Distinct (_hub, _row) with both sizes added up and by how many elements the sets differ, as a table.
+def _met(pairs: DataFrame, sets: DataFrame, columns: tuple[str, ...], run, per_pass: int) -> DataFrame:
+    """Distinct (_hub, _row) with both sizes added up and by how many elements the sets differ by ``run``, as a table.
 
-    Many pairs are dealt by hub over several passes, so that the texts of one pass are in a shuffle at a time.
+    Many pairs are dealt by hub over several passes, so that what one pass compares is in a shuffle at a time.
     """
-    passes, compared = min(MOST_PASSES, 1 + pairs.count() // PASS_PAIRS), None
+    passes, met = min(MOST_PASSES, 1 + pairs.count() // per_pass), None
     for number in range(passes):
         own = pairs.where(F.pmod(F.xxhash64("_hub"), F.lit(passes)) == number)
         found = written(
-            _with_hubs(own, texts).select("_hub", "_row", "_text", "_hub_text").mapInArrow(
-                _differences(size), "_hub long, _row long, _both long, _apart long"
-            ),
+            _with_hubs(own, sets).select("_hub", "_row", *columns)
+            .mapInArrow(run, "_hub long, _row long, _both long, _apart long"),
             "compared",
         )
-        compared = found if compared is None else compared.unionByName(found)
-    return compared
+        met = found if met is None else met.unionByName(found)
+    return met
 
 
 def _judged(pairs: DataFrame, named: DataFrame, size: int, num: int, den: int) -> DataFrame:
@@ -332,16 +346,11 @@ def _judged(pairs: DataFrame, named: DataFrame, size: int, num: int, den: int) -
     whether they are linked (``_near``); those whose sketches rule that out may differ by more."""
     near = (den + num) * F.col("_apart") <= (den - num) * F.col("_both")
     sketches = named.where(F.col("_sketch").isNotNull()).select("_row", "n_shingles", "_sketch")
-    if pairs.count() > BROADCAST_ROWS:  # else only these rows are shuffled as it is
-        sketches = _asked(sketches, pairs)
-    bounds = written(
-        _with_hubs(pairs, sketches)
-        .select("_hub", "_row", "_sketch", "_hub_sketch", (F.col("n_shingles") + F.col("_hubn_shingles")).alias("_both"))
-        .mapInArrow(_bounds, "_hub long, _row long, _both long, _apart long"),
-        "bounds",
-    )
+    sketches = sketches.withColumnRenamed("n_shingles", "_n")
+    bounds = _met(pairs, sketches, ("_sketch", "_hub_sketch", "_n", "_hub_n"), _bounds, max(BROADCAST_ROWS, 1))
     maybe = bounds.where(near).select("_hub", "_row")
-    exact = _compare(maybe, written(_asked(named.select("_row", "_text"), maybe), "asked-texts"), size)
+    texts = _asked(named.select("_row", "_text"), maybe).mapInArrow(_packed, "_row long, _text binary")
+    exact = _met(maybe, written(texts, "asked-texts"), ("_text", "_hub_text"), _differences(size), PASS_PAIRS)
     return bounds.where(~near).unionByName(exact).withColumn("_near", near)
 
 
