@@ -324,7 +324,7 @@ def _asked(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return sets.join(few(written(rows.distinct(), "asked-rows")), "_row")
 
 
-def _met(pairs: DataFrame, sets: DataFrame, columns: tuple[str, ...], run, per_pass: int) -> DataFrame:
+def _met(pairs: DataFrame, sets: DataFrame, columns: tuple[str, ...], run, per_pass: int, name: str) -> DataFrame:
     """Distinct (_hub, _row) with both sizes added up and by how many elements the sets differ by ``run``, as a table.
 
     Many pairs are dealt by hub over several passes, so that what one pass compares is in a shuffle at a time.
@@ -335,22 +335,27 @@ def _met(pairs: DataFrame, sets: DataFrame, columns: tuple[str, ...], run, per_p
         found = written(
             _with_hubs(own, sets).select("_hub", "_row", *columns)
             .mapInArrow(run, "_hub long, _row long, _both long, _apart long"),
-            "compared",
+            name,
         )
         met = found if met is None else met.unionByName(found)
     return met
 
 
+def _compare(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """As ``_met``, on full sets; ``texts`` are packed."""
+    return _met(pairs, texts, ("_text", "_hub_text"), _differences(size), PASS_PAIRS, "compared")
+
+
 def _judged(pairs: DataFrame, named: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Distinct (_hub, _row) with both sizes added up, by how many elements the sets differ and
     whether they are linked (``_near``); those whose sketches rule that out may differ by more."""
     near = (den + num) * F.col("_apart") <= (den - num) * F.col("_both")
     sketches = named.where(F.col("_sketch").isNotNull()).select("_row", "n_shingles", "_sketch")
     sketches = sketches.withColumnRenamed("n_shingles", "_n")
-    bounds = _met(pairs, sketches, ("_sketch", "_hub_sketch", "_n", "_hub_n"), _bounds, max(BROADCAST_ROWS, 1))
+    bounds = _met(pairs, sketches, ("_sketch", "_hub_sketch", "_n", "_hub_n"), _bounds, max(BROADCAST_ROWS, 1), "bounds")
     maybe = bounds.where(near).select("_hub", "_row")
     texts = _asked(named.select("_row", "_text"), maybe).mapInArrow(_packed, "_row long, _text binary")
-    exact = _met(maybe, written(texts, "asked-texts"), ("_text", "_hub_text"), _differences(size), PASS_PAIRS)
+    exact = _compare(maybe, written(texts, "asked-texts"), size)
     return bounds.where(~near).unionByName(exact).withColumn("_near", near)
 
 
