@@ -27,6 +27,8 @@ def with_transition_flag(invoices: DataFrame, contracts: DataFrame) -> DataFrame
     The latest start is the closest one, so the test is whether *any* start lies
     in that window.  Each merchant's distinct start days (one per calendar day
     at most) are looked up with one equi-join; no rows are paired by range.
+    Spark's estimate of the lists is low, and a broadcast of them would grow with the merchants
+    on the driver, so both sides meet in a shuffle.
     """
     starts = contracts.where(F.col("effective_from").isNotNull()).groupBy("merchant_id").agg(
         F.collect_set("effective_from").alias("_starts")
@@ -36,7 +38,7 @@ def with_transition_flag(invoices: DataFrame, contracts: DataFrame) -> DataFrame
         "_starts", lambda s: (s <= period) & (s >= F.date_sub(period, TRANSITION_DAYS))
     )
     return (
-        invoices.join(starts, "merchant_id", "left")
+        invoices.join(starts.hint("merge"), "merchant_id", "left")
         .withColumn("near_transition", F.coalesce(recent, F.lit(False)))
         .drop("_starts")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 from collections import Counter, defaultdict
 from decimal import Decimal
 
@@ -11,11 +12,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywright.functions.relational import as_of_value, keep_first, number_rows, salted_lookup
-from tallywright.operators import adhoc, reconciliation
+from tallywright.operators import adhoc, billing, receivables, reconciliation, star
 from tallywright.plans.catalog import RESULTS
+from tallywright.sources import binding
 from tallywright.sources.binding import BoundModel
 from tallywright.sources.storage import names_in
-from tests.conftest import frame
+from tests.conftest import COLLECTIONS_AS_OF, frame
 
 FOLDER = "/root/testdata/sf0.001"
 SAMPLE = (
@@ -179,6 +181,39 @@ def test_repeated_dimension_rows_are_not_broadcast(spark):
     ]
 
 
+def test_a_row_per_merchant_is_not_broadcast(spark, controls, small):
+    # all so small that Spark would broadcast them by its own estimate, which is low at any size
+    frames = (
+        star.fact_invoices(controls), billing.billing_merchant_month(controls),
+        receivables.ar_aging(small, COLLECTIONS_AS_OF),
+        binding._billed_months(BoundModel(spark, FOLDER, "months")),
+    )
+    for got in frames:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"SortMergeJoin \[merchant_id#\d+L?\], \[merchant_id#\d+L?\]", plan)
+        assert not re.search(r"BroadcastHashJoin \[merchant_id#\d+L?\], \[merchant_id#\d+L?\]", plan)
+
+
+def test_line_items_are_derived_once_for_an_export(spark, monkeypatch):
+    class Bound(Exception):
+        pass
+
+    def bound(*args):
+        raise Bound
+
+    def counted(model, derive=binding._lines):
+        made.append(model)
+        return derive(model)
+
+    made = []
+    monkeypatch.setattr(binding, "_lines", counted)
+    monkeypatch.setitem(binding._BASES, "lines", counted)
+    monkeypatch.setattr(star, "star", bound)
+    with pytest.raises(Bound):
+        RESULTS["export_star"](BoundModel(spark, FOLDER, "lines-once"))
+    assert len(made) == 1
+
+
 @pytest.fixture(scope="module")
 def plans(spark):
     """Plans with broadcasting off, as for tables that are all large."""
